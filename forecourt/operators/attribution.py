@@ -121,7 +121,8 @@ def new_events(events: DataFrame, owners: DataFrame, as_of: dt.date) -> DataFram
     first_seen = keep_first(events.select(*EVENT_COLUMNS), EVENT_KEYS, ["todaydate"])
     today = first_seen.where(F.col("todaydate") == F.lit(as_of))
     last = ends(owners, payload=OWNER_COLUMNS).select("veh_id_nbr", "last.*")
-    joined = lookup_join(today, last, {"vin": "veh_id_nbr"})
+    hot = hot_keys(events.where(F.col("todaydate") == F.lit(as_of)), ["vin"])
+    joined = lookup_join(today, last, {"vin": "veh_id_nbr"}, hot=hot)
     return published(joined.where(F.col("outdate") > F.col("orig_proc_dt"))).distinct()
 
 

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +28,8 @@ def calendar_spine(snapshots: DataFrame, calendar: DataFrame, as_of: dt.date,
 
 
 def _through_month(date: str) -> Column:
-    parts = [F.when(F.month(date) >= i, F.coalesce(F.col(m), F.lit(0))).otherwise(F.lit(0))
-             for i, m in enumerate(MONTHS, 1)]
-    return reduce(lambda a, b: a + b, parts)
+    return F.expr(" + ".join(f"CASE WHEN month({date}) >= {i} THEN coalesce({m}, 0) ELSE 0 END"
+                             for i, m in enumerate(MONTHS, 1)))
 
 
 def mtd_as_of(days: DataFrame) -> DataFrame:
@@ -39,7 +37,7 @@ def mtd_as_of(days: DataFrame) -> DataFrame:
     start = F.col("curr_mth_start_dt")
     opens_year = (F.col("sales_through_dt") == start) & (F.month(start) == 1)
     return days.select("rpt_dt", F.when(opens_year, F.lit(0)).otherwise(
-        month_value(F.month(start))).alias("mtd_sales"))
+        month_value("month(curr_mth_start_dt)")).alias("mtd_sales"))
 
 
 def _ytd_with_prior_date(days: DataFrame) -> DataFrame:

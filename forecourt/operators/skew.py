@@ -16,27 +16,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is split when it holds more than 1/HOT_PARTS of the rows and more than
-# HOT_FLOOR rows; every piece then has about that many. So there are at most
-# HOT_PARTS hot keys, in at most 2 * HOT_PARTS pieces, whatever the input.
-HOT_PARTS = 10_000
-HOT_FLOOR = 1_000_000
+# A key with more than HOT_ROWS rows is split into pieces of about that many.
+# Only the HOT_KEYS largest keys are split: each further key holds less than
+# 1/HOT_KEYS of the rows, and the list has a fixed bound and can be broadcast.
+HOT_ROWS = 1_000_000
+HOT_KEYS = 10_000
 
 JOIN_KINDS = ("inner", "left", "left_semi", "left_anti")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], parts: int | None = None,
-             floor: int | None = None) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
     """Key values with too many rows for one task and ``pieces`` to split them into.
 
-    At most ``parts`` rows. Only the key columns are read, and counts are
-    combined before the shuffle.
+    At most ``HOT_KEYS`` rows. Only the key columns are read, and counts are
+    combined before the shuffle. A key that is missing here is joined in one
+    piece, so the list decides about balance, never about results.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
-    share = counts.agg(F.sum("__rows") / F.lit(parts or HOT_PARTS)).scalar()
-    size = F.greatest(share, F.lit(float(floor or HOT_FLOOR)))
-    return counts.where(F.col("__rows") > size).select(
-        *keys, F.ceil(F.col("__rows") / size).cast("int").alias("pieces"))
+    size = rows or HOT_ROWS
+    return (df.groupBy(*keys).agg(F.expr("count(*) AS __rows"))
+            .where(f"__rows > {size}").orderBy(F.desc("__rows"), *keys).limit(HOT_KEYS)
+            .select(*keys, F.expr(f"CAST(ceil(__rows / {size}) AS INT) AS pieces")))
 
 
 def keys_match(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Column:
@@ -63,7 +62,7 @@ def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Mapping[s
     right_keys = [f"__r{i}" for i in range(len(pairs))]
     marks = [f"__h{i}" for i in range(len(pairs))]
     hot = hot_keys(left, left_keys) if hot is None else hot
-    hot = F.broadcast(hot.toDF(*marks, "__pieces"))  # at most HOT_PARTS rows
+    hot = F.broadcast(hot.toDF(*marks, "__pieces"))  # at most HOT_KEYS rows
 
     taken = {v.lower() for v in pairs.values()}
     right = right.select(

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from forecourt.functions.dates import month_label
 from forecourt.operators.audit import conform, with_audit
 from forecourt.operators.calendar import calendar_window
-from forecourt.operators.cumulative import (daily_from_mtd_lag, daily_from_mtd_shift,
-                                            daily_mtd_merge, mtd_by_month_category)
+from forecourt.operators.cumulative import (MEASURES, MERGE_KEYS, daily_from_mtd_lag,
+                                            daily_from_mtd_shift, daily_mtd_merge,
+                                            mtd_by_month_category)
 from forecourt.plans.targets import FLEET_FACT, FLEET_LAG_FACT
 
 SOURCE_ID = "171749"
@@ -22,23 +23,37 @@ def hist_inc_union(historical: DataFrame, incremental: DataFrame) -> DataFrame:
     return historical.unionByName(incremental)
 
 
-def daily_and_mtd(snapshots: DataFrame, calendar: DataFrame, as_of: dt.date,
-                  country: str = "US", base_year: int | None = None) -> DataFrame:
-    """Daily and month-to-date measures, history and newest day."""
+def run_days(calendar: DataFrame, as_of: dt.date, country: str = "US",
+             base_year: int | None = None) -> DataFrame:
+    """Calendar days of the historical and the incremental run, told apart by ``run``.
+
+    The newest day only sees its own window, as in a run of its own.
+    """
     past = calendar_window(calendar, as_of, "historical", country, base_year)
     newest = calendar_window(calendar, as_of, "incremental", country)
-    daily = hist_inc_union(daily_from_mtd_shift(snapshots, past),
-                           daily_from_mtd_shift(snapshots, newest))
-    mtd = hist_inc_union(mtd_by_month_category(snapshots, past),
-                         mtd_by_month_category(snapshots, newest))
-    return daily_mtd_merge(daily, mtd)
+    return hist_inc_union(past.selectExpr("*", "'historical' AS run"),
+                          newest.selectExpr("*", "'incremental' AS run"))
+
+
+def daily_and_mtd(snapshots: DataFrame, calendar: DataFrame, as_of: dt.date,
+                  country: str = "US", base_year: int | None = None) -> DataFrame:
+    """Daily and month-to-date measures, history and newest day, from two frames."""
+    days = run_days(calendar, as_of, country, base_year)
+    return daily_mtd_merge(daily_from_mtd_shift(snapshots, days, by=["run"]).drop("run"),
+                           mtd_by_month_category(snapshots, days, ["run"]).drop("run"))
 
 
 def fleet_fact(snapshots: DataFrame, calendar: DataFrame, as_of: dt.date, job_id: str,
                mod_ts: Column, source_id: str = SOURCE_ID, country: str = "US",
                base_year: int | None = None) -> DataFrame:
-    """The published fact, one row per report date and month category."""
-    rows = daily_and_mtd(snapshots, calendar, as_of, country, base_year)
+    """The published fact, one row per report date.
+
+    Merging the daily with the month-to-date frame keeps the report month only,
+    and that month's count is at hand where its daily value is computed. So the
+    fact equals ``daily_and_mtd`` without the second frame and the join.
+    """
+    days = run_days(calendar, as_of, country, base_year)
+    rows = daily_from_mtd_shift(snapshots, days, by=["run"]).selectExpr(*MERGE_KEYS, *MEASURES)
     audited = with_audit(rows, ["rpt_dt", "sales_thru_dt", "sales_mth_cat_nbr"], source_id,
                          job_id, mod_ts)
     return conform(audited, FLEET_FACT)

@@ -12,6 +12,7 @@ from forecourt.operators.audit import conform, with_audit
 from forecourt.operators.change import change_feed, latest_slice
 from forecourt.operators.enrich import enrich_left
 from forecourt.plans.targets import DEALER_FORECAST, SYSTEM_MESSAGE
+from forecourt.session import materialize
 
 FORECAST_KEYS = ["biz_assoc_cd", "iso_ctry_cd", "data_upd_dt", "frcst_model_cd", "frcst_rpt_dt",
                  "kpi_type_cd", "sell_src_cd"]
@@ -43,11 +44,13 @@ def forecast_feed(stage: DataFrame, models: DataFrame, kpi_types: DataFrame,
     """I/U/D rows of the dealer forecast of one report date.
 
     Both sides are limited to ``report_date``; a key part that found no model is
-    null on both sides and matches itself.
+    null on both sides and matches itself. The new rows are written to the
+    shared folder once, since the comparison reads them several times.
     """
     day = F.col("frcst_rpt_dt") == F.lit(report_date)
     rows = enrich_objectives(stage, models, kpi_types, country).where(day)
-    new = conform(with_audit(rows, FORECAST_KEYS, source_id, job_id, mod_ts), DEALER_FORECAST)
+    new = materialize(conform(with_audit(rows, FORECAST_KEYS, source_id, job_id, mod_ts),
+                              DEALER_FORECAST), "forecast")
     old = conform(published.where(day), DEALER_FORECAST)
     return conform(change_feed(new, old, [*FORECAST_KEYS, "src_sys_id"]), DEALER_FORECAST)
 

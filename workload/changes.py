@@ -16,6 +16,7 @@ from forecourt.operators.objectives import objective_sheets
 from forecourt.plans.forecast import forecast_feed, system_message_feed
 from forecourt.plans.staging import objective_stage_rows
 from forecourt.plans.targets import DEALER_FORECAST
+from forecourt.session import materialize
 from forecourt.sources.feeds import columns
 from workload.registry import query, table
 from workload.standins import STAMP, orders, stamp
@@ -253,7 +254,7 @@ def forecast_feed_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = stage.where(F.col("kpi_type_code") >= 714)
     gone = known.withColumn("bac", F.col("bac") + 1_000_000_000)
     nothing = spark.createDataFrame([], DEALER_FORECAST)
-    rows = feed(stage, feed(known.unionByName(gone), nothing))
+    rows = feed(stage, materialize(feed(known.unionByName(gone), nothing), "published"))
     return (rows.withColumn("data_upd_dt", F.to_date("data_upd_dt"))
             .drop("dw_mod_ts", "dw_job_id", "dw_anom_flg", "meas_cnt", "src_sys_uniq_prim_key_val",
                   "src_sys_uniq_prim_key_col_val")

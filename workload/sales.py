@@ -123,7 +123,7 @@ SELECT rpt_dt, sales_thru_dt, rpt_mth_nbr, rpt_mth_abbr_txt, sales_mth_cat_nbr,
 FROM (""" + shift_sql("hist") + ")")
 def daily_from_mtd_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = cumulative.daily_from_mtd_shift(snapshots(spark, sf_dir), window(spark, sf_dir))
-    return (daily.withColumn("no_base", F.col("daily_sales").isNull())
+    return (daily.drop("mtd_sales").withColumn("no_base", F.col("daily_sales").isNull())
             .fillna(-1, subset=["daily_sales"]))
 
 

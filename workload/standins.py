@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.fixed_values import MONTHS
@@ -39,17 +39,16 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """model_nm, jan..dec, rpt_dt, sales_through_dt."""
     # one row per day leaves the map side; the models become rows afterwards
-    counts = [F.struct(F.lit(p).alias("model_nm"),
-                       F.count_if(F.col("o_orderpriority") == p).alias("cnt")) for p in PRIORITIES]
-    daily = (orders(spark, sf_dir).groupBy("order_dt").agg(F.array(*counts).alias("models"))
-             .select("order_dt", F.inline("models")))
-    so_far = (Window.partitionBy("model_nm", F.year("order_dt")).orderBy("order_dt")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    months = {m: F.sum(F.when(F.month("order_dt") == i, F.col("cnt")).otherwise(0)).over(so_far)
-              for i, m in enumerate(MONTHS, 1)}
-    return daily.select("model_nm", *[c.cast("int").alias(m) for m, c in months.items()],
-                        F.date_add("order_dt", 1).alias("rpt_dt"),
-                        F.col("order_dt").alias("sales_through_dt"))
+    counts = ", ".join(f"named_struct('model_nm', '{p}', 'cnt', count_if(o_orderpriority = '{p}'))"
+                       for p in PRIORITIES)
+    daily = (orders(spark, sf_dir).groupBy("order_dt").agg(F.expr(f"array({counts}) AS models"))
+             .selectExpr("order_dt", "inline(models)"))
+    so_far = ("OVER (PARTITION BY model_nm, year(order_dt) ORDER BY order_dt "
+              "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    return daily.selectExpr(
+        "model_nm", *[f"CAST(sum(IF(month(order_dt) = {i}, cnt, 0)) {so_far} AS INT) AS {m}"
+                      for i, m in enumerate(MONTHS, 1)],
+        "date_add(order_dt, 1) AS rpt_dt", "order_dt AS sales_through_dt")
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from workload.registry import query, table
 from workload.standins import (DELIVERIES_SQL, EVENTS_AS_OF, EVENTS_SQL, STAMP, calendar,
                                deliveries, orders, retired_events, stamp)
 
-NEW_ON = dt.date(1998, 7, 1)
+NEW_ON = dt.date(2001, 10, 17)
 
 
 @query("""
