@@ -38,8 +38,10 @@ def previous_report_date(report_date: Column, look_back: Mapping[int, int] | Non
     number -> days). By default Monday looks back two days, since no report is
     loaded for it. One computed date keeps the self join an equality join.
     """
+    if look_back is None:
+        look_back = {MONDAY: 2}
     days = F.lit(1)
-    for weekday, back in (look_back or {MONDAY: 2}).items():
+    for weekday, back in look_back.items():
         days = F.when(F.dayofweek(report_date) == weekday, F.lit(back)).otherwise(days)
     return F.date_sub(report_date, days)
 
