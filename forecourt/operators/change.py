@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.operators.skew import lookup_join
+from forecourt.operators.skew import hot_keys, lookup_join
 
 
 def exclude_keys(df: DataFrame, seen: DataFrame, keys: Sequence[str],
@@ -41,7 +41,7 @@ def change_feed(new: DataFrame, old: DataFrame, keys: Sequence[str],
     if compare_cols is not None:
         whole = [*keys, *compare_cols]
         tagged = lookup_join(tagged, old.select(*whole).distinct(), whole, "left_anti",
-                             null_safe=True)
+                             null_safe=True, hot=hot_keys(new, whole))
     gone = exclude_keys(old, new, keys, null_safe).withColumn(code, F.lit("D"))
     return tagged.unionByName(gone)
 

@@ -18,24 +18,30 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Replace a parquet table; returns the rows written."""
+def _write(df: DataFrame, mode: str, path: str, partition_by: Sequence[str]) -> int:
+    if partition_by:
+        # gather the rows of a folder, so a task writes few folders; Spark splits
+        # a folder that holds too much of the data over several tasks
+        df = df.hint("rebalance", *partition_by)
     counted, seen = _counted(df)
-    counted.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    counted.write.mode(mode).partitionBy(*partition_by).parquet(path)
     return seen.get["rows"]
 
 
-def overwrite_table(df: DataFrame, name: str, path: str) -> int:
-    """Replace an external table of the catalog; returns the rows written."""
-    counted, seen = _counted(df)
-    counted.write.mode("overwrite").format("parquet").saveAsTable(name, path=path)
-    return seen.get["rows"]
+def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+    """Replace a parquet table; returns the rows written."""
+    return _write(df, "overwrite", path, partition_by)
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Add rows to a parquet table; returns the rows written."""
+    return _write(df, "append", path, partition_by)
+
+
+def overwrite_table(df: DataFrame, name: str, path: str) -> int:
+    """Replace an external table of the catalog; returns the rows written."""
     counted, seen = _counted(df)
-    counted.write.mode("append").partitionBy(*partition_by).parquet(path)
+    counted.write.mode("overwrite").format("parquet").saveAsTable(name, path=path)
     return seen.get["rows"]
 
 

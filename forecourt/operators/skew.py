@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 HOT_KEYS = 10_000
 
+# A side is broadcast when it was counted to be within both limits.
+BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+
 JOIN_KINDS = ("inner", "left", "left_semi", "left_anti")
 
 
@@ -38,6 +42,18 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> Dat
             .select(*keys, F.expr(f"CAST(ceil(__rows / {size}) AS INT) AS pieces")))
 
 
+def small_enough(df: DataFrame) -> bool:
+    """Whether a side may be broadcast: counts its rows and bytes in one pass.
+
+    One row of two numbers comes to the driver. For dimensions, which are read
+    anyway; not for a side that is expensive to compute.
+    """
+    size = df.agg(F.count("*").alias("rows"),
+                  F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+                  .alias("bytes")).first()
+    return size["rows"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES
+
+
 def keys_match(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Column:
     """Join condition over columns of different names on the two sides."""
     pairs = [F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b)
@@ -45,6 +61,17 @@ def keys_match(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Co
     return reduce(lambda a, b: a & b, pairs)
 
 
+def broadcast_lookup(left: DataFrame, right: DataFrame, on: Mapping[str, str],
+                     how: str = "left") -> DataFrame:
+    """The same join with a right side that was found ``small_enough``."""
+    marks = [f"__r{i}" for i in range(len(on))]
+    rest = [c for c in right.columns if c not in on.values()]
+    right = right.select(*[F.col(k).alias(m) for k, m in zip(on.values(), marks, strict=True)],
+                         *rest)
+    match = keys_match(list(on), marks, null_safe=False)
+    return left.join(F.broadcast(right), match, how).drop(*marks)
+
+
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Mapping[str, str],
                 how: str = "inner", *, null_safe: bool = False,
                 hot: DataFrame | None = None) -> DataFrame:
