@@ -12,7 +12,7 @@ from forecourt.fixed_values import DELIVERY_KPI_TYPES, SELLING_SOURCES
 from forecourt.functions.text import code_label
 from forecourt.operators.ranking import (first_and_last, keep_first, keep_latest,
                                          sequence_numbers)
-from forecourt.operators.skew import hot_keys, lookup_join
+from forecourt.operators.skew import deal, hot_keys, join_dealt, lookup_join
 
 # An event is the same event when these agree, whatever file it came in.
 EVENT_KEYS = ("vin", "outdate", "daysinservice", "outmile")
@@ -84,8 +84,7 @@ def event_sequence(events: DataFrame, vehicle: str, order: Sequence[str], slices
 def _first_owner_event(both: DataFrame) -> DataFrame:
     """Per vehicle, its earliest event after the first dealer's record."""
     rest = [c for c in EVENT_COLUMNS if c not in ("vin", "todaydate")]
-    eligible = both.where(F.col("outdate") > F.col("first.orig_proc_dt"))
-    return eligible.groupBy("vin").agg(
+    return both.where("outdate > first.orig_proc_dt").groupBy("vin").agg(
         F.min(F.struct("todaydate", *rest, "first")).alias("__event"))
 
 
@@ -102,17 +101,16 @@ def event_history(events: DataFrame, owners: DataFrame, as_of: dt.date) -> DataF
     # counted on the raw events: cheaper than on the de-duplicated ones, and
     # every key that is hot afterwards is hot here
     hot = hot_keys(events, ["vin"])
-    both = lookup_join(latest, ends(owners, payload=OWNER_COLUMNS), {"vin": "veh_id_nbr"}, hot=hot)
+    both = join_dealt(deal(latest, ["vin"], hot), ends(owners, payload=OWNER_COLUMNS),
+                      {"vin": "veh_id_nbr"}, "inner", hot)
     opening = _first_owner_event(both)
+    later = join_dealt(both.where("outdate > last.orig_proc_dt"), opening, ["vin"], "left", hot)
+    repeats = ("todaydate <=> __event.todaydate AND (outdate <=> __event.outdate "
+               "OR last.biz_assoc_id <=> __event.first.biz_assoc_id)")
 
     first_rows = opening.select("vin", "__event.*").select(*EVENT_COLUMNS, "first.*")
-    same_file = F.col("todaydate").eqNullSafe(F.col("__event.todaydate"))
-    same_owner = F.col("last.biz_assoc_id").eqNullSafe(F.col("__event.first.biz_assoc_id"))
-    same_out = F.col("outdate").eqNullSafe(F.col("__event.outdate"))
-    later = lookup_join(both.where(F.col("outdate") > F.col("last.orig_proc_dt")), opening,
-                        ["vin"], "left", hot=hot)
-    last_rows = (later.where(F.col("__event").isNull() | ~(same_file & (same_owner | same_out)))
-                 .select(*EVENT_COLUMNS, "last.*"))
+    last_rows = later.where(f"__event IS NULL OR NOT ({repeats})").select(
+        *EVENT_COLUMNS, "last.*")
     return published(first_rows.unionByName(last_rows)).distinct()
 
 
@@ -128,5 +126,5 @@ def new_events(events: DataFrame, owners: DataFrame, as_of: dt.date) -> DataFram
 
 def published(rows: DataFrame) -> DataFrame:
     """Rename to the published columns and add the selling source label."""
-    return rows.select(*[F.col(c).alias(n) for c, n in PUBLISHED.items()],
+    return rows.select(*[F.expr(f"{c} AS {n}") for c, n in PUBLISHED.items()],
                        code_label(F.col("sell_src_cd"), SELLING_SOURCES).alias("sell_src_desc"))

@@ -11,7 +11,6 @@ position, so a retried task deals the same way.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,9 +55,8 @@ def small_enough(df: DataFrame) -> bool:
 
 def keys_match(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Column:
     """Join condition over columns of different names on the two sides."""
-    pairs = [F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b)
-             for a, b in zip(left, right, strict=True)]
-    return reduce(lambda a, b: a & b, pairs)
+    equal = "<=>" if null_safe else "="
+    return F.expr(" AND ".join(f"`{a}` {equal} `{b}`" for a, b in zip(left, right, strict=True)))
 
 
 def broadcast_lookup(left: DataFrame, right: DataFrame, on: Mapping[str, str],
@@ -72,6 +70,46 @@ def broadcast_lookup(left: DataFrame, right: DataFrame, on: Mapping[str, str],
     return left.join(F.broadcast(right), match, how).drop(*marks)
 
 
+# The piece of its key a row was dealt to.
+PIECE = "__piece_nbr"
+
+
+def _hot_side(hot: DataFrame, keys: int) -> tuple[DataFrame, list[str]]:
+    marks = [f"__h{i}" for i in range(keys)]
+    return F.broadcast(hot.toDF(*marks, "__pieces")), marks  # at most HOT_KEYS rows
+
+
+def deal(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Add ``PIECE``: 0, or for rows of hot keys a piece number taken from the row's values."""
+    listed, marks = _hot_side(hot, len(keys))
+    values = ", ".join(f"`{c}`" for c in df.columns)
+    piece = f"CASE WHEN __pieces IS NULL THEN 0 ELSE pmod(xxhash64({values}), __pieces) END"
+    return (df.join(listed, keys_match(keys, marks, null_safe=True), "left")
+            .withColumn(PIECE, F.expr(f"CAST({piece} AS INT)")).drop(*marks, "__pieces"))
+
+
+def join_dealt(left: DataFrame, right: DataFrame, on: Sequence[str] | Mapping[str, str],
+               how: str, hot: DataFrame, null_safe: bool = False) -> DataFrame:
+    """``lookup_join`` for rows that were dealt before; they keep their piece.
+
+    Joins on the same key one after the other share the shuffle of the rows.
+    """
+    if how not in JOIN_KINDS:
+        raise ValueError(f"how must be one of {JOIN_KINDS}")
+    pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
+    right_keys = [f"__r{i}" for i in range(len(pairs))]
+    listed, marks = _hot_side(hot, len(pairs))
+    taken = {v.lower() for v in pairs.values()}
+    named = right.selectExpr(
+        *[f"`{v}` AS {r}" for v, r in zip(pairs.values(), right_keys, strict=True)],
+        *[f"`{c}`" for c in right.columns if c.lower() not in taken])
+    repeated = (named.join(listed, keys_match(right_keys, marks, null_safe=True), "left")
+                .withColumn("__rp", F.expr("explode(sequence(0, coalesce(__pieces, 1) - 1))"))
+                .drop(*marks, "__pieces"))
+    match = keys_match(list(pairs), right_keys, null_safe) & (F.col(PIECE) == F.col("__rp"))
+    return left.join(repeated, match, how).drop(*right_keys, "__rp")
+
+
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Mapping[str, str],
                 how: str = "inner", *, null_safe: bool = False,
                 hot: DataFrame | None = None) -> DataFrame:
@@ -82,28 +120,6 @@ def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Mapping[s
     ``hot_keys`` gives for the left keys. Pass it when an input that is cheaper
     than ``left`` has the same keys at least as often.
     """
-    if how not in JOIN_KINDS:
-        raise ValueError(f"how must be one of {JOIN_KINDS}")
-    pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
-    left_keys = list(pairs)
-    right_keys = [f"__r{i}" for i in range(len(pairs))]
-    marks = [f"__h{i}" for i in range(len(pairs))]
-    hot = hot_keys(left, left_keys) if hot is None else hot
-    hot = F.broadcast(hot.toDF(*marks, "__pieces"))  # at most HOT_KEYS rows
-
-    taken = {v.lower() for v in pairs.values()}
-    right = right.select(
-        *[F.col(v).alias(r) for v, r in zip(pairs.values(), right_keys, strict=True)],
-        *[F.col(f"`{c}`") for c in right.columns if c.lower() not in taken])
-    last = F.coalesce(F.col("__pieces") - 1, F.lit(0))
-    right = (right.join(hot, keys_match(right_keys, marks, null_safe=True), "left")
-             .withColumn("__rp", F.explode(F.sequence(F.lit(0), last)))
-             .drop(*marks, "__pieces"))
-
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    piece = (F.when(F.col("__pieces").isNotNull(), F.pmod(row, F.col("__pieces")).cast("int"))
-             .otherwise(F.lit(0)))
-    dealt = (left.join(hot, keys_match(left_keys, marks, null_safe=True), "left")
-             .withColumn("__lp", piece).drop(*marks, "__pieces"))
-    match = keys_match(left_keys, right_keys, null_safe) & (F.col("__lp") == F.col("__rp"))
-    return dealt.join(right, match, how).drop(*right_keys, "__lp", "__rp")
+    keys = list(on)
+    hot = hot_keys(left, keys) if hot is None else hot
+    return join_dealt(deal(left, keys, hot), right, on, how, hot, null_safe).drop(PIECE)

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# folders of local sessions without the setting, removed when Python ends
+_own: dict[str, tempfile.TemporaryDirectory] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
@@ -20,12 +23,13 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="forecourt-")
-    spark.sparkContext.setCheckpointDir(folder)
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    if context.applicationId not in _own:
+        _own[context.applicationId] = tempfile.TemporaryDirectory(
+            prefix="forecourt-", ignore_cleanup_errors=True)
+    return _own[context.applicationId].name
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.fixed_values import MONTHS
+from forecourt.session import materialize
 from workload.registry import table
 
 # All order days lie before it; the newest one is the day before.
@@ -45,22 +46,23 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
              .selectExpr("order_dt", "inline(models)"))
     so_far = ("OVER (PARTITION BY model_nm, year(order_dt) ORDER BY order_dt "
               "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
-    return daily.selectExpr(
+    # a staging table in its own right, so the queries that read it several times
+    # do not count the orders each time
+    return materialize(daily.selectExpr(
         "model_nm", *[f"CAST(sum(IF(month(order_dt) = {i}, cnt, 0)) {so_far} AS INT) AS {m}"
                       for i, m in enumerate(MONTHS, 1)],
-        "date_add(order_dt, 1) AS rpt_dt", "order_dt AS sales_through_dt")
+        "date_add(order_dt, 1) AS rpt_dt", "order_dt AS sales_through_dt"), "snapshots")
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per day with orders."""
-    day = F.col("sales_thru_dt")
-    return (orders(spark, sf_dir).select(F.col("order_dt").alias("sales_thru_dt")).distinct()
-            .withColumns({
-                "curr_mth_start_dt": F.trunc(day, "month"),
-                "curr_yr_start_dt": F.trunc(day, "year"),
-                "prior_yr_start_dt": F.trunc(F.add_months(day, -12), "year"),
-                "prior_year_current_day_dt": F.add_months(day, -12),
-                "iso_ctry_cd": F.lit("US")}))
+    """One row per day with orders; a dimension table, so it is written once."""
+    days = orders(spark, sf_dir).selectExpr("order_dt AS sales_thru_dt").distinct()
+    return materialize(days.selectExpr(
+        "sales_thru_dt", "trunc(sales_thru_dt, 'month') AS curr_mth_start_dt",
+        "trunc(sales_thru_dt, 'year') AS curr_yr_start_dt",
+        "trunc(add_months(sales_thru_dt, -12), 'year') AS prior_yr_start_dt",
+        "add_months(sales_thru_dt, -12) AS prior_year_current_day_dt", "'US' AS iso_ctry_cd"),
+        "calendar")
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
