@@ -21,7 +21,8 @@ from forecourt.operators.calendar import calendar_window
 from forecourt.operators.change import exclude_keys
 from forecourt.operators.ranking import sequence_numbers
 from forecourt.operators.reconcile import reconcile_sets
-from workload import standins
+from workload import sales, standins  # noqa: F401
+from workload.registry import QUERIES
 
 
 def forms(spark, sf_dir):
@@ -42,6 +43,9 @@ def forms(spark, sf_dir):
     yield "12 branches / one pass", union_branches, lambda: cumulative.mtd_by_month_category(
         snap, days)
 
+    yield ("fleet fact: 48 branches / one pass", lambda: plain_fact(spark, sf_dir),
+           lambda: QUERIES["fleet_fact_publish"](spark, sf_dir))
+
     dated = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", F.to_date("o_orderdate").alias("d"))
     reports = dated.groupBy("d").agg(F.count("*").alias("n"))
@@ -87,6 +91,48 @@ def forms(spark, sf_dir):
            lambda: sequence_numbers(rows, ["veh"], ["d", "id"], [F.col("d")], "n"))
 
 
+def plain_fact(spark, sf_dir):
+    """The fleet fact from four frames of twelve branches each and a join on six keys."""
+    snap, cal = standins.snapshots(spark, sf_dir), standins.calendar(spark, sf_dir)
+    names = ["rpt_dt", "sales_thru_dt", "rpt_mth_nbr", "rpt_mth_abbr_txt"]
+    sums = [F.sum(m).alias(m) for m in MONTHS]
+
+    def stack(parts):
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.union(part)
+        return whole.distinct()
+
+    def named(df, i):
+        return df.withColumn("sales_mth_cat_nbr", F.lit(i)).withColumn(
+            "sales_mth_cat", F.lit(MONTHS[i - 1].title()))
+
+    daily, mtd = [], []
+    for mode, base in (("historical", standins.BASE_YEAR), ("incremental", None)):
+        days = calendar_window(cal, standins.AS_OF, mode, base_year=base)
+        now = snap.join(days, F.col("sales_through_dt") == F.col("sales_thru_dt")).groupBy(
+            *names).agg(*sums)
+        closed = F.col("sales_through_dt").isin(F.date_sub("curr_yr_start_dt", 1),
+                                                F.date_sub("prior_yr_start_dt", 1))
+        before = (snap.withColumn("jan_", F.col("jan"))
+                  .join(days, F.col("sales_through_dt") == F.date_sub("sales_thru_dt", 1))
+                  .withColumn("jan", F.when(closed, 0).otherwise(F.col("jan_")))
+                  .groupBy(*names).agg(*sums).select(
+                      F.col("rpt_dt").alias("p_dt"), *[F.col(m).alias(f"p_{m}") for m in MONTHS]))
+        monday = F.date_format("rpt_dt", "EEE") == "Mon"
+        either = ((monday & (F.col("p_dt") == F.date_sub("rpt_dt", 2)))
+                  | (~monday & (F.col("p_dt") == F.date_sub("rpt_dt", 1))))
+        daily.append(stack([
+            named(now.where(F.col("rpt_mth_nbr") == i).join(before, either, "left")
+                  .groupBy(*names).agg(F.sum(F.col(m) - F.col(f"p_{m}")).alias("daily")), i)
+            for i, m in enumerate(MONTHS, 1)]))
+        mtd.append(stack([named(now.select(*names, F.col(m).alias("mtd")), i)
+                          for i, m in enumerate(MONTHS, 1)]).where(
+            "rpt_mth_nbr >= sales_mth_cat_nbr"))
+    return daily[0].union(daily[1]).join(
+        mtd[0].union(mtd[1]), [*names, "sales_mth_cat_nbr", "sales_mth_cat"])
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = bench.session(os.environ.get("BENCH_CPUS", "8"))

@@ -19,10 +19,15 @@ from forecourt.streaming.ingest import ingest_new_files, stream_delimited, strea
 
 
 def stage_model_snapshots(spark: SparkSession, path, out: str, as_of: dt.date) -> int:
-    """Append snapshot files whose report dates are new; nothing on a day without a load."""
+    """Append snapshot files whose report dates are new; nothing on a day without a load.
+
+    The table is laid out by report date, so looking up the dates that are
+    there reads no data.
+    """
     if not loads_on(as_of):
         return 0
-    return append_if_new(feeds.read_model_snapshots(spark, path), out, ["rpt_dt"])
+    return append_if_new(feeds.read_model_snapshots(spark, path), out, ["rpt_dt"],
+                         partition_by=["rpt_dt"])
 
 
 def stage_retired_events(spark: SparkSession, path, out: str) -> int:

@@ -218,3 +218,21 @@ def test_no_load_on_monday():
     for i in range(14):
         counts[loads_on(D(2023, 2, 1) + dt.timedelta(days=i))] += 1
     assert counts == {True: 12, False: 2}
+
+
+def test_calendar_joins_do_not_move_the_rows(spark, calendar, tmp_path):
+    from forecourt.operators.calendar import calendar_enrich
+    path = str(tmp_path / "rows")
+    spark.range(10).selectExpr("id", "date'2023-01-05' AS rpt_dt").write.parquet(path)
+    df = calendar_enrich(spark.read.parquet(path), calendar, ["curr_mth_start_dt"])
+    assert rows(df.select("curr_mth_start_dt").distinct()) == [(D(2023, 1, 1),)]
+    assert df.count() == 10
+    assert "Exchange" not in plan_of(df).split("BroadcastExchange")[0].replace(
+        "BroadcastHashJoin", "")
+
+
+def test_audit_stamp_is_a_wall_clock(spark):
+    from forecourt.functions.dates import zone_timestamp
+    r = spark.range(1).select(zone_timestamp("America/Detroit").alias("t"),
+                              zone_timestamp("UTC").alias("u")).first()
+    assert dt.timedelta(hours=4) <= r["u"] - r["t"] <= dt.timedelta(hours=5)

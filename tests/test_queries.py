@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entries
 import oracle
+from conftest import plan_of
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -22,6 +23,9 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(entries.queries()))
 def test_query_equals_sql(spark, con, name):
     df = entries.queries()[name](spark, SF_DIR)
+    plan = plan_of(df)
+    for node in ("CartesianProduct", "NestedLoopJoin", "Python", "MapInPandas", "ArrowEval"):
+        assert node not in plan
     found = [d for d in oracle.differences(df, con, entries.oracle_sql()[name]) if d != "no rows"]
     assert not found
 

@@ -194,3 +194,37 @@ def test_delivered_filters(frame):
                 base + ("US", 26, 1), base + ("US", 25, -1), own("A", 1, "2020-12-31") + ("US", 25, 1),
                 base[:4] + (99, "M", "US", 25, 1)], schema)
     assert attribution.delivered(df, D(2021, 1, 1), D(2023, 6, 1)).count() == 2
+
+
+def test_delivery_filters_reach_the_scan(spark, frame, tmp_path):
+    path = str(tmp_path / "deliveries")
+    schema = OWNER + ", ntl_cd string, kpi_type_cd int, veh_deliv_cnt int, unused string"
+    frame([own("A", 1, "2023-01-01") + ("US", 25, 1, "x")], schema).write.parquet(path)
+    sold = attribution.delivered(spark.read.parquet(path), D(2021, 1, 1), D(2023, 6, 1))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = plan_of(attribution.ends(attribution.first_per_pair(
+            sold.select("veh_id_nbr", "biz_assoc_id", "orig_proc_dt"))))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    for column in ("orig_proc_dt,", "kpi_type_cd,", "veh_deliv_cnt,"):
+        assert column in scan[scan.index("PushedFilters"):]
+    assert "unused" not in scan and "model_yr" not in scan
+
+
+def test_lookups_on_the_same_key_share_the_shuffle(frame):
+    events = frame([ev("A", "2023-03-01", "2023-03-02")], EVENT)
+    owners = frame([own("A", 1, "2023-01-01")], OWNER)
+    spark = events.sparkSession
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(attribution.event_history(events, owners, D(2023, 6, 1)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    moved = [line for line in plan.splitlines()
+             if "Exchange hashpartitioning(vin" in line and skew.PIECE in line
+             and "ReusedExchange" not in line]
+    assert len(moved) == 1

@@ -12,11 +12,10 @@ from forecourt.operators.calendar import (calendar_enrich, calendar_gate, calend
                                           fill_forward_calendar)
 from forecourt.plans.fleet import daily_and_mtd, fleet_fact, fleet_lag_fact
 from workload.registry import query
-from workload.standins import (AS_OF, BASE_YEAR, SNAPSHOT_SQL, STAMP, calendar, month_case, orders,
-                               snapshots, stamp)
+from workload.standins import (AS_OF, BASE_YEAR, SNAPSHOT_SQL, STAMP, calendar, month_case,
+                               month_name, orders, snapshots, stamp)
 
 WITH = "WITH " + SNAPSHOT_SQL
-MONTH_LIST = ", ".join(f'"{m}"' for m in MONTHS)
 LAST_DAY = "DATE '2001-07-31'"   # two days before AS_OF
 NEWEST_DAY = "DATE '2001-08-01'"  # the day before AS_OF
 DAYS_SQL = """
@@ -40,20 +39,17 @@ def calendar_enrich_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "curr_mth_start_dt": "month_start", "prior_yr_start_dt": "prior_yr_start_dt"})
 
 
-@query(WITH + """
-SELECT sales_thru_dt, curr_mth_start_dt, curr_yr_start_dt, prior_yr_start_dt,
-       rpt_mth_nbr, rpt_mth_abbr_txt, 'prior year' AS bound FROM cal
-WHERE sales_thru_dt <= """ + LAST_DAY + """ AND sales_thru_dt >= (
-    SELECT arg_max(prior_yr_start_dt, sales_thru_dt) FROM cal WHERE sales_thru_dt <= """
-       + LAST_DAY + """)
-UNION ALL
-SELECT sales_thru_dt, curr_mth_start_dt, curr_yr_start_dt, prior_yr_start_dt,
-       rpt_mth_nbr, rpt_mth_abbr_txt, 'base year' AS bound FROM cal
-WHERE sales_thru_dt <= """ + LAST_DAY + """ AND sales_thru_dt >= DATE '1995-01-01'
-UNION ALL
-SELECT sales_thru_dt, curr_mth_start_dt, curr_yr_start_dt, prior_yr_start_dt,
-       rpt_mth_nbr, rpt_mth_abbr_txt, 'newest' AS bound FROM cal
-WHERE sales_thru_dt = """ + NEWEST_DAY)
+WINDOW_SQL = f"""SELECT sales_thru_dt, curr_mth_start_dt, curr_yr_start_dt, prior_yr_start_dt,
+       rpt_mth_nbr, {month_name('rpt_mth_nbr')} AS rpt_mth_abbr_txt, '{{bound}}' AS bound
+FROM cal WHERE """
+
+
+@query(WITH + WINDOW_SQL.format(bound="prior year") + f"""
+sales_thru_dt <= {LAST_DAY} AND sales_thru_dt >= (
+    SELECT arg_max(prior_yr_start_dt, sales_thru_dt) FROM cal WHERE sales_thru_dt <= {LAST_DAY})
+UNION ALL """ + WINDOW_SQL.format(bound="base year") + f"""
+sales_thru_dt <= {LAST_DAY} AND sales_thru_dt >= DATE '1995-01-01'
+UNION ALL """ + WINDOW_SQL.format(bound="newest") + f" sales_thru_dt = {NEWEST_DAY}")
 def calendar_window_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = calendar(spark, sf_dir)
     frames = [calendar_window(days, AS_OF).withColumn("bound", F.lit("prior year")),
@@ -78,14 +74,15 @@ def wide_month_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RESET_SQL = """
-reset AS (SELECT s.rpt_dt, h.sales_thru_dt, h.rpt_mth_nbr, h.rpt_mth_abbr_txt,
+reset AS (SELECT s.rpt_dt, h.sales_thru_dt, h.rpt_mth_nbr,
        CAST(sum(CASE WHEN s.sales_through_dt IN (h.curr_yr_start_dt - 1, h.prior_yr_start_dt - 1)
                      THEN 0 ELSE s."jan" END) AS BIGINT) AS "jan", """ + ", ".join(
     f'CAST(sum(s."{m}") AS BIGINT) AS "{m}"' for m in MONTHS[1:]) + """
-   FROM snap s JOIN {days} h ON s.sales_through_dt = h.sales_thru_dt - 1 GROUP BY 1, 2, 3, 4)"""
+   FROM snap s JOIN {days} h ON s.sales_through_dt = h.sales_thru_dt - 1 GROUP BY 1, 2, 3)"""
 
 
-@query(WITH + "," + DAYS_SQL + "," + RESET_SQL.format(days="hist") + " SELECT * FROM reset")
+@query(WITH + "," + DAYS_SQL + "," + RESET_SQL.format(days="hist")
+       + f" SELECT *, {month_name('rpt_mth_nbr')} AS rpt_mth_abbr_txt FROM reset")
 def year_reset_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cumulative.year_reset_sum(snapshots(spark, sf_dir), window(spark, sf_dir))
 
@@ -100,16 +97,15 @@ def unpivot_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shift_sql(days: str) -> str:
     """Daily sales by look-back over the days of a CTE."""
     return f"""
-    SELECT f.rpt_dt, f.sales_thru_dt, f.rpt_mth_nbr, f.rpt_mth_abbr_txt,
-           f.rpt_mth_nbr AS sales_mth_cat_nbr, f.rpt_mth_abbr_txt AS sales_mth_cat,
+    SELECT f.rpt_dt, f.sales_thru_dt, f.rpt_mth_nbr, f.rpt_mth_nbr AS sales_mth_cat_nbr,
            CAST(sum({month_case('f.rpt_mth_nbr', 'f.')} - {month_case('f.rpt_mth_nbr', 'p.')})
                 AS BIGINT) AS daily_sales
-    FROM (SELECT w.*, h.sales_thru_dt, h.rpt_mth_nbr, h.rpt_mth_abbr_txt
+    FROM (SELECT w.*, h.sales_thru_dt, h.rpt_mth_nbr
           FROM wide w JOIN {days} h ON w.sales_through_dt = h.sales_thru_dt) f
     LEFT JOIN reset_{days} p
       ON (isodow(f.rpt_dt) = 1 AND p.rpt_dt = f.rpt_dt - 2)
       OR (isodow(f.rpt_dt) <> 1 AND p.rpt_dt = f.rpt_dt - 1)
-    GROUP BY 1, 2, 3, 4"""
+    GROUP BY 1, 2, 3"""
 
 
 SHIFT_WITH = (WITH + "," + DAYS_SQL + ","
@@ -117,8 +113,12 @@ SHIFT_WITH = (WITH + "," + DAYS_SQL + ","
               + RESET_SQL.format(days="inc").replace("reset AS", "reset_inc AS"))
 
 
-@query(SHIFT_WITH + """
-SELECT rpt_dt, sales_thru_dt, rpt_mth_nbr, rpt_mth_abbr_txt, sales_mth_cat_nbr, sales_mth_cat,
+LABELS = f"""{month_name('rpt_mth_nbr')} AS rpt_mth_abbr_txt,
+       {month_name('sales_mth_cat_nbr')} AS sales_mth_cat"""
+
+
+@query(SHIFT_WITH + f"""
+SELECT rpt_dt, sales_thru_dt, rpt_mth_nbr, sales_mth_cat_nbr, {LABELS},
        CAST(coalesce(daily_sales, -1) AS BIGINT) AS daily_sales, daily_sales IS NULL AS no_base
 FROM (""" + shift_sql("hist") + ")")
 def daily_from_mtd_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,26 +168,24 @@ def daily_from_mtd_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mtd_sql(days: str) -> str:
     """Month-to-date sales per category over the days of a CTE, a branch per month."""
     return " UNION ALL ".join(
-        f"""SELECT w.rpt_dt, h.sales_thru_dt, h.rpt_mth_nbr, h.rpt_mth_abbr_txt,
-                   CAST({i} AS BIGINT) AS sales_mth_cat_nbr, '{m.title()}' AS sales_mth_cat,
-                   w."{m}" AS mtd_sales
+        f"""SELECT w.rpt_dt, h.sales_thru_dt, h.rpt_mth_nbr,
+                   CAST({i} AS BIGINT) AS sales_mth_cat_nbr, w."{m}" AS mtd_sales
             FROM wide w JOIN {days} h ON w.sales_through_dt = h.sales_thru_dt
             WHERE h.rpt_mth_nbr >= {i}""" for i, m in enumerate(MONTHS, 1))
 
 
-@query(WITH + "," + DAYS_SQL + " " + mtd_sql("hist"))
+@query(WITH + "," + DAYS_SQL + f" SELECT *, {LABELS} FROM (" + mtd_sql("hist") + ")")
 def mtd_by_month_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cumulative.mtd_by_month_category(snapshots(spark, sf_dir), window(spark, sf_dir))
 
 
 MERGE_SQL = (SHIFT_WITH + ", daily AS (" + shift_sql("hist") + " UNION ALL " + shift_sql("inc")
              + "), mtd AS (" + mtd_sql("hist") + " UNION ALL " + mtd_sql("inc") + ")")
-MERGE_KEYS = ("rpt_dt, sales_thru_dt, rpt_mth_nbr, rpt_mth_abbr_txt, sales_mth_cat, "
-              "sales_mth_cat_nbr")
+MERGE_KEYS = "rpt_dt, sales_thru_dt, rpt_mth_nbr, sales_mth_cat_nbr"
 
 
 @query(MERGE_SQL + f"""
-SELECT {MERGE_KEYS}, CAST(coalesce(daily_sales, -1) AS BIGINT) AS day_sales_cnt,
+SELECT {MERGE_KEYS}, {LABELS}, CAST(coalesce(daily_sales, -1) AS BIGINT) AS day_sales_cnt,
        CAST(mtd_sales AS BIGINT) AS mth_to_dt_sales_cnt
 FROM daily JOIN mtd USING ({MERGE_KEYS})""")
 def daily_mtd_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,12 +193,8 @@ def daily_mtd_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
                          base_year=BASE_YEAR).fillna(-1, subset=["day_sales_cnt"])
 
 
-AUDIT_SQL = f"""1 AS meas_cnt_, 'N' AS dw_anom_flg, CAST('{STAMP}' AS DATE) AS dw_mod_dt,
-       'I' AS src_sys_iud_cd"""
-
-
 @query(MERGE_SQL + f"""
-SELECT {MERGE_KEYS}, CAST(coalesce(daily_sales, -1) AS BIGINT) AS day_sales_cnt,
+SELECT {MERGE_KEYS}, {LABELS}, CAST(coalesce(daily_sales, -1) AS BIGINT) AS day_sales_cnt,
        CAST(mtd_sales AS BIGINT) AS mth_to_dt_sales_cnt, '171749' AS src_sys_id,
        rpt_dt || '|' || sales_thru_dt || '|' || sales_mth_cat_nbr || '|171749'
            AS src_sys_uniq_prim_key_val,
@@ -216,7 +210,8 @@ def fleet_fact_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(WITH + "," + LAG_SQL + f"""
-SELECT rpt_dt, l.sales_thru_dt, mth_to_dt_sales_cnt, rpt_mth_nbr, rpt_mth_abbr_txt,
+SELECT rpt_dt, l.sales_thru_dt, mth_to_dt_sales_cnt, rpt_mth_nbr,
+       {month_name('rpt_mth_nbr')} AS rpt_mth_abbr_txt,
        CAST(coalesce(day_sales_cnt, -1) AS BIGINT) AS day_sales_cnt, '315' AS src_sys_id,
        rpt_dt || '|' || l.sales_thru_dt || '|315' AS src_sys_uniq_prim_key_val,
        'rpt_dt|sales_thru_dt|src_sys_id' AS src_sys_uniq_prim_key_col_val,

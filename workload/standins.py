@@ -109,12 +109,15 @@ cal AS (SELECT d AS sales_thru_dt, CAST(date_trunc('month', d) AS DATE) AS curr_
                CAST(date_trunc('year', d) AS DATE) AS curr_yr_start_dt,
                CAST(date_trunc('year', d) - INTERVAL 1 YEAR AS DATE) AS prior_yr_start_dt,
                CAST(d - INTERVAL 1 YEAR AS DATE) AS prior_year_current_day_dt,
-               'US' AS iso_ctry_cd, CAST(month(d) AS BIGINT) AS rpt_mth_nbr,
-               ['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec'][month(d)]
-                   AS rpt_mth_abbr_txt
+               CAST(month(d) AS BIGINT) AS rpt_mth_nbr
         FROM days)"""
 
 
+def month_name(number: str) -> str:
+    """Label of a month number in SQL; labels are added last, joins use the numbers."""
+    return f"strftime(make_date(2000, CAST({number} AS INTEGER), 1), '%b')"
+
+
 def month_case(number: str, prefix: str = "") -> str:
     """The month column with a number, as a CASE."""
     branches = " ".join(f'WHEN {i} THEN {prefix}"{m}"' for i, m in enumerate(MONTHS, 1))
