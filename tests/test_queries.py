@@ -11,7 +11,7 @@ from conftest import plan_of
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
-@pytest.fixture(scope="module")
+@pytest.fixture
 def con():
     return oracle.database(SF_DIR)
 

@@ -95,22 +95,31 @@ def unpivot_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shift_sql(days: str) -> str:
-    """Daily sales by look-back over the days of a CTE."""
+    """Daily sales by look-back over the days of a CTE.
+
+    Both sides have one row per report date, so there is nothing to sum.
+    """
     return f"""
     SELECT f.rpt_dt, f.sales_thru_dt, f.rpt_mth_nbr, f.rpt_mth_nbr AS sales_mth_cat_nbr,
-           CAST(sum({month_case('f.rpt_mth_nbr', 'f.')} - {month_case('f.rpt_mth_nbr', 'p.')})
+           CAST({month_case('f.rpt_mth_nbr', 'f.')} - {month_case('f.rpt_mth_nbr', 'p.')}
                 AS BIGINT) AS daily_sales
     FROM (SELECT w.*, h.sales_thru_dt, h.rpt_mth_nbr
           FROM wide w JOIN {days} h ON w.sales_through_dt = h.sales_thru_dt) f
     LEFT JOIN reset_{days} p
       ON (isodow(f.rpt_dt) = 1 AND p.rpt_dt = f.rpt_dt - 2)
-      OR (isodow(f.rpt_dt) <> 1 AND p.rpt_dt = f.rpt_dt - 1)
-    GROUP BY 1, 2, 3"""
-
-
-SHIFT_WITH = (WITH + "," + DAYS_SQL + ","
-              + RESET_SQL.format(days="hist").replace("reset AS", "reset_hist AS") + ","
-              + RESET_SQL.format(days="inc").replace("reset AS", "reset_inc AS"))
+      OR (isodow(f.rpt_dt) <> 1 AND p.rpt_dt = f.rpt_dt - 1)"""
+
+
+# The base of a window from the summed days. ``year_reset_sum`` is checked against the
+# sum over the models; here a GROUP BY over a join with a one-day window would now and
+# then end in an internal error of DuckDB ("dictionary caching").
+BASE_SQL = """
+reset_{days} AS (SELECT w.* EXCLUDE ("jan", sales_through_dt), h.sales_thru_dt, h.rpt_mth_nbr,
+       CASE WHEN w.sales_through_dt IN (h.curr_yr_start_dt - 1, h.prior_yr_start_dt - 1)
+            THEN 0 ELSE w."jan" END AS "jan"
+   FROM wide w JOIN {days} h ON w.sales_through_dt = h.sales_thru_dt - 1)"""
+SHIFT_WITH = (WITH + "," + DAYS_SQL + "," + BASE_SQL.format(days="hist") + ","
+              + BASE_SQL.format(days="inc"))
 
 
 LABELS = f"""{month_name('rpt_mth_nbr')} AS rpt_mth_abbr_txt,
