@@ -103,21 +103,23 @@ def shift_sql(days: str) -> str:
     SELECT f.rpt_dt, f.sales_thru_dt, f.rpt_mth_nbr, f.rpt_mth_nbr AS sales_mth_cat_nbr,
            CAST({month_case('f.rpt_mth_nbr', 'f.')} - {month_case('f.rpt_mth_nbr', 'p.')}
                 AS BIGINT) AS daily_sales
-    FROM (SELECT w.*, h.sales_thru_dt, h.rpt_mth_nbr
-          FROM wide w JOIN {days} h ON w.sales_through_dt = h.sales_thru_dt) f
+    FROM (SELECT *, sales_through_dt AS sales_thru_dt,
+                 CAST(month(sales_through_dt) AS BIGINT) AS rpt_mth_nbr
+          FROM wide WHERE sales_through_dt IN (SELECT sales_thru_dt FROM {days})) f
     LEFT JOIN reset_{days} p
       ON (isodow(f.rpt_dt) = 1 AND p.rpt_dt = f.rpt_dt - 2)
       OR (isodow(f.rpt_dt) <> 1 AND p.rpt_dt = f.rpt_dt - 1)"""
 
 
 # The base of a window from the summed days. ``year_reset_sum`` is checked against the
-# sum over the models; here a GROUP BY over a join with a one-day window would now and
-# then end in an internal error of DuckDB ("dictionary caching").
+# sum over the models and the columns of the calendar; here the calendar only filters,
+# since columns taken from its side of a join now and then end in an internal error of
+# DuckDB ("dictionary caching").
 BASE_SQL = """
-reset_{days} AS (SELECT w.* EXCLUDE ("jan", sales_through_dt), h.sales_thru_dt, h.rpt_mth_nbr,
-       CASE WHEN w.sales_through_dt IN (h.curr_yr_start_dt - 1, h.prior_yr_start_dt - 1)
-            THEN 0 ELSE w."jan" END AS "jan"
-   FROM wide w JOIN {days} h ON w.sales_through_dt = h.sales_thru_dt - 1)"""
+reset_{days} AS (SELECT * EXCLUDE "jan",
+       CASE WHEN sales_through_dt = date_trunc('year', sales_through_dt + 1) - INTERVAL 1 DAY
+            THEN 0 ELSE "jan" END AS "jan"
+   FROM wide WHERE sales_through_dt + 1 IN (SELECT sales_thru_dt FROM {days}))"""
 SHIFT_WITH = (WITH + "," + DAYS_SQL + "," + BASE_SQL.format(days="hist") + ","
               + BASE_SQL.format(days="inc"))
 
@@ -177,10 +179,11 @@ def daily_from_mtd_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mtd_sql(days: str) -> str:
     """Month-to-date sales per category over the days of a CTE, a branch per month."""
     return " UNION ALL ".join(
-        f"""SELECT w.rpt_dt, h.sales_thru_dt, h.rpt_mth_nbr,
-                   CAST({i} AS BIGINT) AS sales_mth_cat_nbr, w."{m}" AS mtd_sales
-            FROM wide w JOIN {days} h ON w.sales_through_dt = h.sales_thru_dt
-            WHERE h.rpt_mth_nbr >= {i}""" for i, m in enumerate(MONTHS, 1))
+        f"""SELECT rpt_dt, sales_through_dt AS sales_thru_dt,
+                   CAST(month(sales_through_dt) AS BIGINT) AS rpt_mth_nbr,
+                   CAST({i} AS BIGINT) AS sales_mth_cat_nbr, "{m}" AS mtd_sales
+            FROM wide WHERE sales_through_dt IN (SELECT sales_thru_dt FROM {days})
+            AND month(sales_through_dt) >= {i}""" for i, m in enumerate(MONTHS, 1))
 
 
 @query(WITH + "," + DAYS_SQL + f" SELECT *, {LABELS} FROM (" + mtd_sql("hist") + ")")
