@@ -36,16 +36,16 @@ def snapshot_line(name, *values):
 
 
 def test_model_snapshots(spark, tmp_path):
-    put(tmp_path, "MODEL_NET_20230502.txt", snapshot_line("CAR X", *range(1, 12), -84))
-    put(tmp_path, "MODEL_NET_20230503.txt", snapshot_line("CAR X", *[7] * 12))
-    got = feeds.read_model_snapshots(spark, str(tmp_path / "MODEL_NET_*.txt"))
+    put(tmp_path, "SNAPSHOT_20230502.txt", snapshot_line("CAR X", *range(1, 12), -84))
+    put(tmp_path, "SNAPSHOT_20230503.txt", snapshot_line("CAR X", *[7] * 12))
+    got = feeds.read_model_snapshots(spark, str(tmp_path / "SNAPSHOT_*.txt"))
     assert rows(got.select("model_nm", "jan", "dec", "rpt_dt", "sales_through_dt")) == [
         ("CAR X", 1, -84, D(2023, 5, 2), D(2023, 5, 1)),
         ("CAR X", 7, 7, D(2023, 5, 3), D(2023, 5, 2))]
 
 
 def test_snapshot_staging_is_idempotent(spark, tmp_path):
-    path = put(tmp_path / "in", "MODEL_NET_20230502.txt", snapshot_line("CAR X", *range(12)))
+    path = put(tmp_path / "in", "SNAPSHOT_20230502.txt", snapshot_line("CAR X", *range(12)))
     out = str(tmp_path / "out")
     tuesday, monday = D(2023, 5, 2), D(2023, 5, 1)
     assert staging.stage_model_snapshots(spark, path, out, monday) == 0
@@ -163,7 +163,7 @@ def test_objective_sheets_from_exports(spark, tmp_path):
 # --- fixed width ----------------------------------------------------------
 
 def test_region_feed(spark, tmp_path):
-    path = put(tmp_path, "OBJ_REG_20240502.txt",
+    path = put(tmp_path, "FEED_REG_20240502.txt",
                "HDR REG 05/02/2024 OBJECTIVE   \n0000000003412QZ3050220240000815\n0000\n")
     lines = read_text_feed(spark, path)
     assert rows(parse_fixed_width(lines, LAYOUTS["REG"])) == [
@@ -173,7 +173,7 @@ def test_region_feed(spark, tmp_path):
 
 
 def test_header_only_file(spark, tmp_path):
-    path = put(tmp_path, "OBJ_NAT_20240502.txt", "HDR NAT 05/02/2024 OBJ \n")
+    path = put(tmp_path, "FEED_NAT_20240502.txt", "HDR NAT 05/02/2024 OBJ \n")
     assert feeds.read_objectives(spark, path, "NAT").isEmpty()
 
 
@@ -218,10 +218,10 @@ def test_undocumented_layout_is_ten_texts(spark):
 
 def test_objective_staging(spark, tmp_path):
     folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    path = put(folder, "OBJ_NAT_20240502.txt", "HDR NAT 05/02/2024 OBJ \n0011QX1050220240001234\n")
+    path = put(folder, "FEED_NAT_20240502.txt", "HDR NAT 05/02/2024 OBJ \n0011QX1050220240001234\n")
     assert staging.stage_objectives(spark, path, str(tmp_path / "his"), "NAT") == 1
     for _ in range(2):
-        staging.stage_new_objectives(spark, folder, out, state, "NAT", "OBJ_NAT_*").awaitTermination()
+        staging.stage_new_objectives(spark, folder, out, state, "NAT", "FEED_NAT_*").awaitTermination()
     assert rows(spark.read.parquet(out)) == [(11, "QX1", D(2024, 5, 2), 1234)]
 
 

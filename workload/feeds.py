@@ -157,7 +157,7 @@ SELECT o_orderkey, CAST(o_orderdate AS DATE) AS file_date, CAST(o_orderdate AS D
 FROM orders""")
 def file_date_from_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = orders(spark, sf_dir).select("o_orderkey", F.concat(
-        F.lit("/feeds/in/MODEL_NET_"), F.date_format("order_dt", "yyyyMMdd"), F.lit(".txt"))
+        F.lit("/feeds/in/SNAPSHOT_"), F.date_format("order_dt", "yyyyMMdd"), F.lit(".txt"))
         .alias(FILE_COLUMN))
     return report_dates(with_file_date(named)).drop(FILE_COLUMN)
 
@@ -166,7 +166,7 @@ def file_date_from_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS file_date FROM orders""")
 def file_date_from_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = orders(spark, sf_dir).withColumn("month", F.trunc("order_dt", "month"))
-    path = F.date_format("month", "'/feeds/OBJ_'yyyyMM'.txt'").alias(FILE_COLUMN)
+    path = F.date_format("month", "'/feeds/DAY_'yyyyMM'.txt'").alias(FILE_COLUMN)
     detail = src.select(F.col("o_orderkey").cast("string").alias("value"), path)
     header = src.select("month").distinct().select(
         F.date_format("month", "'HDR ORD 'MM/dd/yyyy' OBJ'").alias("value"), path)
