@@ -19,6 +19,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ ITERATIONS = 3
 SEED = 11
 # Training sequences: a longer text is that many words at a time.
 SEQUENCE = 512
-BATCH_TOKENS = 400_000
+TRAIN_TOKENS, SCORE_TOKENS = 400_000, 2_000_000
 # The token after the last word; no word holds white space.
 END = b"\n"
 
@@ -64,6 +65,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
+TAIL = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+
+
 def _encoded(words: list[bytes], counts: list[int], total: int, distinct: int):
     number = {w: i for i, w in enumerate(words)}
     base = np.log10((np.array([*counts, 0], np.float64) + 1) / (total + distinct + 1))
@@ -78,20 +82,18 @@ def _encoded(words: list[bytes], counts: list[int], total: int, distinct: int):
                 for text, doc_id in zip(part.column("text").to_pylist(),
                                         part.column("doc_id").to_pylist(), strict=True):
                     words_ = tokens(text)
-                    found = np.fromiter((number.get(w, rare) for w in words_), np.uint32,
-                                        len(words_))
-                    tail = Counter([w for w in words_ if w not in number])
+                    found = np.array(list(map(number.get, words_, repeat(rare))))
+                    tail = Counter([words_[i] for i in np.flatnonzero(found == rare).tolist()])
                     ids.append(found.astype("<u2").tobytes())
                     held.append(crc_fold(doc_id, FOLDS) == HELD_OUT)
                     n.append(len(words_))
                     scores.append(float(base[found[found < rare]].sum()))
-                    tails.append([{"word": w, "n": c} for w, c in tail.items()])
+                    tails.append(list(tail.items()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(range(uid, uid + len(n)), pa.int64()), part.column("doc_id"),
                      pa.array(held), pa.array(n, pa.int64()), pa.array(ids, pa.binary()),
                      pa.array(scores, pa.float64()),
-                     pa.array(tails, pa.list_(pa.struct([("word", pa.binary()),
-                                                         ("n", pa.int64())])))],
+                     pa.array(tails, TAIL)],
                     ["uid", "doc_id", "held_out", "n_tokens", "ids", "base", "tail"])
                 uid += len(n)
 
@@ -185,8 +187,8 @@ class _Batch:
         return gamma[self.begin].sum(axis=0), move * model.move, emit
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], sequence: int | None):
-    """(rows, sequences) of about ``BATCH_TOKENS`` tokens; sequences of texts in parts if asked."""
+def _grouped(batches: Iterator[pa.RecordBatch], most: int, sequence: int | None = None):
+    """(rows, sequences) of about ``most`` tokens; texts in parts of ``sequence`` if asked."""
     rows, sequences, size = [], [], 0
     for batch in batches:
         for i, raw in enumerate(batch.column("ids")):
@@ -196,7 +198,7 @@ def _grouped(batches: Iterator[pa.RecordBatch], sequence: int | None):
                 rows.append((batch, i))
                 sequences.append(part)
                 size += len(part)
-            if size >= BATCH_TOKENS:
+            if size >= most:
                 yield rows, sequences
                 rows, sequences, size = [], [], 0
     if sequences:
@@ -209,7 +211,7 @@ def _expected(model: Model):
         states = len(model.start)
         start, move = np.zeros(states), np.zeros((states, states))
         emit = np.zeros((states, len(model.emit)))
-        for _, sequences in _grouped(batches, SEQUENCE):
+        for _, sequences in _grouped(batches, TRAIN_TOKENS, SEQUENCE):
             a, b, c = _Batch(sequences).expected(model)
             start += a
             move += b
@@ -248,7 +250,7 @@ def baum_welch(encoded: DataFrame, model: Model, iterations: int) -> Model:
 
 def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, sequences in _grouped(batches, None):
+        for rows, sequences in _grouped(batches, SCORE_TOKENS):
             scores = _Batch(sequences).likelihood(model)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b.column("uid")[i].as_py() for b, i in rows], pa.int64()),

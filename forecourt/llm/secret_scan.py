@@ -45,7 +45,7 @@ WINDOWS = 6_000
 AROUND = 8
 FEATURES = 1 << 14
 EPOCHS = 60
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 500_000
 TAGS = 3  # outside, begin, inside
 O, B, I = range(TAGS)  # noqa: E741
 Span = tuple[str, int, int]
@@ -70,39 +70,61 @@ def joined(spans: list[Span]) -> str:
 
 def may_match(word: bytes) -> bool:
     """Whether a text with this word has to be searched for base patterns."""
-    return (b"AKIA" in word or _KEYWORD.search(word.lower()) is not None
-            or _MAYBE_HEX.search(word) is not None)
+    return (len(word) > 4 and (_KEYWORD.search(word.lower()) is not None or b"AKIA" in word)
+            or len(word) > 23 and _MAYBE_HEX.search(word) is not None)
 
 
 def _entropy(word: str) -> float:
     return -sum(n / len(word) * math.log2(n / len(word)) for n in Counter(word).values())
 
 
+class _Outline(dict):
+    """Code point to a for lower case letters, A for others, d for digits, or itself."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = kind = "d" if c in "0123456789" else "a" if c.islower() else (
+            "A" if c.isalpha() else c)
+        return kind
+
+
+_outline = _Outline()
+_RUN = re.compile(r"(.)\1+")
+_VOWELS = re.compile("[aeiouAEIOU]")
+_DIGITS = re.compile("[0-9]")
+
+
 def shape(word: str) -> str:
-    """Runs of lower, upper, digit and other characters, as aAd and the others themselves."""
-    kinds = re.sub(r"[0-9]", "d", re.sub(r"[^\W\d_]", lambda m: "a" if m[0].islower() else "A",
-                                         word[:200]))
-    return re.sub(r"(.)\1+", r"\1+", kinds)
+    """Runs of lower, upper, digit and other characters, as a, A, d and the others themselves."""
+    return _RUN.sub(r"\1+", word[:200].translate(_outline))
+
+
+def is_plain(word: str) -> bool:
+    """A short word of letters, with or without marks around it."""
+    return len(word) < 16 and word.strip(".,;:!?").isalpha()
 
 
-def word_features(word: str) -> list[str]:
-    """What the field sees of a token by itself."""
+def word_features(word: str, outline: str) -> list[str]:
+    """What the field sees of a token by itself. Of a plain word that is its outline and length."""
+    if is_plain(word):
+        return ["1", "plain", f"len{len(word) // 4}", f"shape{outline[:12]}"]
     bare = word.strip("\"'`,;()[]{}<>")
-    value = re.split(r"[=:]", bare)[-1] or bare or word
-    digits = sum(c.isdigit() for c in value)
-    vowels = sum(c in "aeiouAEIOU" for c in value)
-    outline = shape(value)
-    return ["1", f"len{min(len(value), 40) // 4}", f"shape{outline[:12]}",
-            f"runs{min(len(outline), 24) // 2}", f"dig{round(4 * digits / len(value))}",
+    value = _SIGN.split(bare)[-1] or bare or word
+    digits, vowels = len(_DIGITS.findall(value)), len(_VOWELS.findall(value))
+    inner = outline if value == word else shape(value)
+    return ["1", f"len{min(len(value), 40) // 4}", f"shape{inner[:12]}",
+            f"runs{min(len(inner), 24) // 2}", f"dig{round(4 * digits / len(value))}",
             f"vow{round(5 * vowels / len(value))}", f"ent{round(2 * _entropy(value[:200]))}",
             f"mix{digits > 0}{value.isalnum()}{value.lower() == value}{value.upper() == value}",
-            f"sign{'=' in bare}{':' in bare}{word != bare}",
-            f"low{bare.lower()[:16]}" if bare.isalpha() or not bare.isalnum() else "id"]
+            f"sign{'=' in bare}{':' in bare}{word != bare}", f"of{bare[:-len(value)].lower()[:16]}"]
 
 
-def neighbour_features(word: str) -> list[str]:
-    return [f"w{word.lower()[:16]}" if not any(map(str.isdigit, word)) else "digits",
-            f"s{shape(word)[:8]}", f"e{word[-1:] if not word[-1:].isalnum() else ''}"]
+_SIGN = re.compile("[=:]")
+
+
+def neighbour_features(word: str, outline: str) -> list[str]:
+    """What the field sees of the token before or after: the word itself, then its outline."""
+    return ["digits" if "d" in outline else f"w{word[:16]}", f"s{outline[:8]}"]
 
 
 def file_features(text: str) -> list[str]:
@@ -111,19 +133,21 @@ def file_features(text: str) -> list[str]:
             f"code{sum(c in text for c in '{};')}", f"size{min(20, len(text).bit_length())}"]
 
 
-def _number(feature: str) -> int:
-    return zlib.crc32(feature.encode()) % FEATURES
+# A feature has another weight for the token itself, before it, after it, and for the file.
+_PLACES = {"=": 0, "<": 0x5BD1E995, ">": 0x27D4EB2F, "#": 0x165667B1}
 
 
 def _numbers(features: list[str], place: str) -> list[int]:
-    return [_number(place + f) for f in features]
+    salt = _PLACES[place]
+    return [(zlib.crc32(f.encode()) ^ salt) % FEATURES for f in features]
 
 
 def token_features(words: list[str], i: int, about_file: list[int]) -> list[int]:
-    before = neighbour_features(words[i - 1]) if i else ["first"]
-    after = neighbour_features(words[i + 1]) if i + 1 < len(words) else ["last"]
-    return [*_numbers(word_features(words[i]), "="), *_numbers(before, "<"),
-            *_numbers(after, ">"), *about_file]
+    def near(j: int, edge: str) -> list[str]:
+        return neighbour_features(words[j], shape(words[j])) if 0 <= j < len(words) else [edge]
+
+    return [*_numbers(word_features(words[i], shape(words[i])), "="),
+            *_numbers(near(i - 1, "first"), "<"), *_numbers(near(i + 1, "last"), ">"), *about_file]
 
 
 def tags_of(places: list[tuple[int, int]], spans: list[Span]) -> list[int]:
@@ -187,7 +211,7 @@ class Field:
         Windows are padded to one length; padding carries no weight and no tag.
         """
         if not any(any(t) for _, t in windows):
-            self.weights[_number("=1"), O] = 1.0  # nothing to learn from: all outside
+            self.weights[_numbers(["1"], "="), O] = 1.0  # nothing to learn from: all outside
             return self
         count, most = len(windows), max(len(t) for _, t in windows)
         wide = max(len(f) for fs, _ in windows for f in fs)
@@ -263,28 +287,66 @@ class Scanner:
         self.clear()
 
     def clear(self) -> None:
-        edge = np.zeros(TAGS)
+        """Forget the words; row 0 of the tables is the edge of a text."""
         self.number: dict[bytes, int] = {}
-        self.tables = [edge[None], self._sum(["first"], "<")[None], self._sum(["last"], ">")[None]]
-        self.flags = np.zeros(1, bool)
+        self.tables = [np.zeros((1024, TAGS)) for _ in range(3)]
+        self.tables[1][0] = self._sum(["first"], "<")
+        self.tables[2][0] = self._sum(["last"], ">")
+        self.flags = np.zeros(1024, bool)
+        # rows of scores that words share: by outline, as a neighbour and as a plain word
+        self.sides: dict[str, int] = {}
+        self.side_rows = np.zeros((64, 2, TAGS))
+        self.owns: dict[tuple[int, str], int] = {}
+        self.own_rows = np.zeros((64, TAGS))
 
     def _sum(self, features: list[str], place: str) -> np.ndarray:
         return self.field.weights[_numbers(features, place)].sum(axis=0)
 
     def _learn(self, words: list[bytes]) -> None:
-        own, before, after, flags = [], [], [], []
-        for raw in words:
+        low = len(self.number) + 1
+        high = low + len(words)
+        while high > len(self.flags):
+            self.tables = [np.vstack([t, np.zeros_like(t)]) for t in self.tables]
+            self.flags = np.append(self.flags, np.zeros_like(self.flags))
+        sides, owns, numbers, odd, flags = [], [], [], [], []
+        for row, raw in enumerate(words):
             word = raw.decode()
-            self.number[raw] = len(self.number) + 1
-            near = neighbour_features(word)
-            own.append(self._sum(word_features(word), "="))
-            before.append(self._sum(near, "<"))
-            after.append(self._sum(near, ">"))
+            self.number[raw] = low + row
+            outline = shape(word)
+            itself, *rest = neighbour_features(word, outline)
+            side = self.sides.get(outline)
+            if side is None:
+                side = self.sides[outline] = len(self.sides)
+                if side >= len(self.side_rows):
+                    self.side_rows = np.concatenate([self.side_rows, self.side_rows * 0])
+                self.side_rows[side] = self._sum(rest, "<"), self._sum(rest, ">")
+            sides.append(side)
+            numbers.append(zlib.crc32(itself.encode()))
+            if is_plain(word):
+                key = len(word) // 4, outline
+                own = self.owns.get(key)
+                if own is None:
+                    own = self.owns[key] = len(self.owns)
+                    if own >= len(self.own_rows):
+                        self.own_rows = np.concatenate([self.own_rows, self.own_rows * 0])
+                    self.own_rows[own] = self._sum(word_features(word, outline), "=")
+                owns.append(own)
+            else:
+                owns.append(0)
+                odd.append((row, self._sum(word_features(word, outline), "=")))
             flags.append(may_match(raw))
-        if words:
-            self.tables = [np.vstack([t, *new]) for t, new in
-                           zip(self.tables, (own, before, after), strict=True)]
-            self.flags = np.append(self.flags, flags)
+        if not words:
+            return
+        own = self.own_rows[owns]
+        for row, scores in odd:
+            own[row] = scores
+        found = np.array(numbers)
+        side_scores = self.side_rows[sides]
+        self.tables[0][low:high] = own
+        for i, place in enumerate("<>"):
+            self.tables[i + 1][low:high] = side_scores[:, i] + self.field.weights[
+                (found ^ _PLACES[place]) % FEATURES]
+        self.flags[low:high] = flags
 
     def scan(self, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
         """(base spans, added spans) of each text."""
@@ -341,9 +403,20 @@ def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: i
     return Field().fit([(r["features"], r["tags"]) for r in rows])
 
 
+# The last scanner of this process, so that tasks of one job share the words seen.
+_last: list[tuple[bytes, Scanner]] = []
+
+
+def _scanner(field: Field) -> Scanner:
+    mark = hashlib.sha256(field.weights.tobytes() + field.moves.tobytes()).digest()
+    if not _last or _last[0][0] != mark:
+        _last[:] = [(mark, Scanner(field))]
+    return _last[0][1]
+
+
 def _scanned(field: Field):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(field)
+        scanner = _scanner(field)
         for batch in batches:
             for low in range(0, batch.num_rows, 128):
                 part = batch.slice(low, 128)
