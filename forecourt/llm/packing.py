@@ -218,9 +218,10 @@ def pack(docs: DataFrame, vocabulary: str, text: str = "text", doc_id: str = "do
     by_block = tokens.groupBy("block", "source").agg(F.sum("tokens").alias("here"))
     before = Window.partitionBy("source").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = by_block.select(
+    # written, so that its size is known and the ids need not move to meet a small table
+    offsets = stored(by_block.select(
         F.col("block").alias("o_block"), F.col("source").alias("o_source"),
-        F.coalesce(F.sum("here").over(before), F.lit(0)).alias("ahead"))
+        F.coalesce(F.sum("here").over(before), F.lit(0)).alias("ahead")), "offsets")
     totals = few_rows(tokens.groupBy("source").agg(F.sum("tokens").alias("size"))
                       .orderBy(F.asc_nulls_last("source")), MOST_SOURCES, "sources")
     names, sizes = [r["source"] for r in totals], [r["size"] for r in totals]
