@@ -22,7 +22,7 @@ from forecourt.llm.shared import few_rows, stored, text_or_empty, word_count
 
 WEIGHTS = (1, 2, 3)
 BLOCK = 16
-SHARD_WORDS = 1 << 24
+SHARD_WORDS = 1 << 17
 MOST_SOURCES = 100_000
 CELLS = 1 << 16
 
