@@ -197,7 +197,7 @@ class _Search:
         ``near``: a (the pivot), b, n_a, n_b, delta, linked.
         """
         up, down = 100 + self.percent, 100 - self.percent
-        d, grown = F.col("d"), F.col("n_b") - F.col("n_a")
+        d = F.col("d")
         members = near.withColumn("d", F.size("delta").cast("long")).withColumns({
             # how many of the differences the other one has at least, if it does not link
             "short": d - F.expr(f"(d * {up} - (n_b - n_a) * {down}) DIV {2 * up}"),
@@ -215,15 +215,19 @@ class _Search:
                   .withColumn("rank", F.col("alone") + F.col("at")))
         index = placed.where("rank < short").select(
             F.col("a").alias("xa"), F.col("entry.e").alias("xe"), F.col("b").alias("x"),
-            F.col("d").alias("dx"), F.col("n_b").alias("nx"), F.col("linked").alias("lx"))
+            F.col("d").alias("dx"), F.col("n_b").alias("nx"), F.col("linked").alias("lx"),
+            (F.col("d") - F.col("rank")).alias("left_x"))
         probe = placed.where("not linked and rank < long").select(
             "a", F.col("entry.e").alias("e"), F.col("b").alias("y"), "d", "n_b",
-            (F.col("rank") < F.col("short")).alias("is_short"))
+            (F.col("rank") < F.col("short")).alias("is_short"), (d - F.col("rank")).alias("left"))
+        # from their first common difference on, both still need to hold enough
+        enough = ((F.col("dx") + F.col("d") - 2 * F.least("left", "left_x")) * up
+                  <= (F.col("nx") + F.col("n_b")) * down)
         pairs = probe.join(
             index, (F.col("a") == F.col("xa")) & (F.col("e") == F.col("xe"))
             & (F.col("x") != F.col("y"))
             & (F.col("lx") | (F.col("is_short") & (F.col("x") < F.col("y"))))
-            & (F.abs(F.col("dx") - F.col("d")) * up <= (F.col("nx") + F.col("n_b")) * down)
+            & enough
         ).select("a", "x", "y").distinct()
         sides = [near.select(F.col("a").alias(f"{c}a"), F.col("b").alias(f"{c}b"),
                              F.col("n_b").alias(f"n{c}"), F.col("delta").alias(f"delta{c}"))
