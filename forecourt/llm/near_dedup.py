@@ -262,8 +262,12 @@ class _Search:
                            & ~(F.col("seen") & F.col("also")))
                 .select(F.col("cls").alias("a"), F.col("c").alias("b")).distinct())
 
-    def likely(self, pairs: DataFrame) -> DataFrame:
-        """Pairs that the sketch of their union does not rule out."""
+    def likely(self, pairs: DataFrame, wide: int = 1) -> DataFrame:
+        """Pairs that the sketch of their union does not rule out; ``wide`` lowers the bar.
+
+        Members of a list are compared with its pivot at half the bar: what they differ
+        in spares comparing those that don't link with all the others.
+        """
         def side(name: str, c: str) -> DataFrame:
             return self.classes.select(F.col("cls").alias(c), F.col("n").alias(f"n_{name}"),
                                        F.col("sketch").alias(f"s_{name}"))
@@ -276,7 +280,7 @@ class _Search:
                 .withColumn("hits", F.size(F.array_intersect("met", "u"))))
         least = F.least(needed(F.col("n_a"), self.k, self.percent),
                         needed(F.col("n_b"), self.k, self.percent))
-        return both.where(F.col("hits") >= least).select("a", "b", "n_a", "n_b")
+        return both.where(F.col("hits") * wide >= least).select("a", "b", "n_a", "n_b")
 
     def compared(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a written table) with ``delta``, where their full sets differ, and ``linked``."""
@@ -319,7 +323,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     search = _Search(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
                      shingle, percent, k, filter_bits)
-    near = stored(search.compared(stored(search.likely(search.with_pivot()), "likely")), "near")
+    near = stored(search.compared(stored(search.likely(search.with_pivot(), wide=2), "likely")),
+                  "near")
     links = stored(near.where("linked").select("a", "b").union(search.by_difference(near)),
                    "links")
     roots = stored(components(links), "roots")
