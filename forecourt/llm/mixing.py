@@ -64,7 +64,7 @@ def apportion(targets: Sequence[float], bounds: Sequence[int], seats: int) -> li
     for _ in range(100):
         mid = (low * high) ** 0.5
         low, high = (low, mid) if sum(at(mid)) <= seats else (mid, high)
-    held = at(high)
+    held = at(high * (1 + 1e-9))  # above ties, which go to the first
     heap = [(-t / (2 * h + 1), i) for i, (t, h, b) in
             enumerate(zip(targets, held, bounds, strict=True)) if t > 0 and h < b]
     heapq.heapify(heap)

@@ -6,7 +6,7 @@ the queue of a source has given floor(n * quantum) tokens, so the deficit at any
 round follows from its number, and partitions go on where others stop without
 waiting for them. Rounds follow each other in one stream that is cut every
 ``window`` tokens: every sequence but the last is full and holds each source at
-its target share, to a token or two.
+its target share, to within as many tokens as there are sources.
 
 A queue is the documents of a source in the order of the written token table:
 block by block, a block being one partition of the pass that made the tokens.
