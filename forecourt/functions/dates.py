@@ -13,6 +13,9 @@ from forecourt.fixed_values import MONTH_LABELS, SPREADSHEET_DAY_ZERO
 # Spark's dayofweek(): Sunday is 1, Monday is 2.
 MONDAY = 2
 
+# Serial of 9999-12-31.
+LAST_SPREADSHEET_DAY = 2_958_465
+
 
 def parse_date(text: Column, *formats: str) -> Column:
     """Text to date, trying the formats in order; null when none fits."""
@@ -21,9 +24,14 @@ def parse_date(text: Column, *formats: str) -> Column:
 
 
 def excel_serial_date(serial: Column) -> Column:
-    """Spreadsheet serial day (text or number) to date; null when not a number."""
+    """Spreadsheet serial day (text or number) to date.
+
+    Null when it is not a number or not a day of the years that sheets know, up to
+    9999; so a date that is written as a number, 20230401, is no serial.
+    """
     days = serial.cast("string").try_cast("double").try_cast("int")
-    return F.date_add(F.lit(SPREADSHEET_DAY_ZERO).cast("date"), days)
+    return F.when(days.between(1, LAST_SPREADSHEET_DAY),
+                  F.date_add(F.lit(SPREADSHEET_DAY_ZERO).cast("date"), days))
 
 
 def sales_through(report_date: Column) -> Column:

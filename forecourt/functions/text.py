@@ -16,7 +16,7 @@ def null_if(text: Column, tokens: Sequence[str] = ("",)) -> Column:
 
 def percent_parse(text: Column, precision: int = 12, scale: int = 6) -> Column:
     """``+x.x%`` to a decimal fraction; null when it is not a percentage."""
-    number = F.regexp_extract(F.trim(text), r"^([+-]?\d+(?:\.\d+)?)\s*%$", 1)
+    number = F.regexp_extract(F.trim(text), r"^([+-]?(?:\d+(?:\.\d+)?|\.\d+))\s*%$", 1)
     return (number.try_cast(f"decimal({precision},{scale})") / F.lit(100)).cast(
         f"decimal({precision},{scale})")
 

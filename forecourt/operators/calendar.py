@@ -53,36 +53,22 @@ def calendar_gate(df: DataFrame, calendar: DataFrame, as_of: dt.date,
     return df.where(day.select("sales_thru_dt").exists())
 
 
-# Days a calendar may cover. One row per day of this range is the proven size
-# bound behind the broadcast of a calendar.
-FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1), dt.date(2100, 12, 31)
-
-
-def one_row_per_day(calendar: DataFrame, columns: Sequence[str],
-                    day: str = "sales_thru_dt") -> DataFrame:
-    """Calendar columns, one row per day, ready to broadcast.
-
-    Never more rows than the range has days (about 73,000), whatever the table
-    holds. Reduce a calendar of several countries to one first.
-    """
-    row = F.max(F.struct(*columns)).alias("__row")
-    return F.broadcast(calendar.where(F.col(day).between(F.lit(FIRST_DAY), F.lit(LAST_DAY)))
-                       .groupBy(F.col(day).alias("__day")).agg(row)
-                       .select("__day", "__row.*"))
-
-
 def calendar_enrich(df: DataFrame, calendar: DataFrame, columns: Mapping[str, str] | Sequence[str],
-                    report_date: str = "rpt_dt", through: str | None = None) -> DataFrame:
+                    report_date: str = "rpt_dt", through: str | None = None,
+                    country: str | None = None) -> DataFrame:
     """Join rows to the calendar day they cover and add calendar columns.
 
     The day is ``through`` if given, else the day before ``report_date``.
-    Report days without a calendar row are dropped (inner join). The rows stay
-    where they are: a calendar has few days, so shuffling by day would put the
-    whole input into few tasks.
+    Report days without a calendar row are dropped (inner join); a day with several
+    rows keeps them all. ``country`` takes the calendar of one country. Whether the
+    calendar is broadcast is Spark's own decision by its size.
     """
     names = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
     day = F.col(through) if through else F.date_sub(F.col(report_date), 1)
-    days = one_row_per_day(calendar, list(names)).withColumnsRenamed(names)
+    if country is not None:
+        calendar = calendar.where(F.col("iso_ctry_cd") == country)
+    days = calendar.select(F.col("sales_thru_dt").alias("__day"),
+                           *[F.col(c).alias(name) for c, name in names.items()])
     return df.join(days, day == F.col("__day"), "inner").drop("__day")
 
 
@@ -93,12 +79,16 @@ def fill_forward_calendar(df: DataFrame, date_col: str, value_cols: Sequence[str
 
     The days run from ``start`` or, per partition, from its first date. Input
     is one row per partition and date, so a window never holds more rows than
-    there are days. ``is_filled`` marks the added days.
+    there are days. ``is_filled`` marks the added days. A partition that begins after
+    ``end`` has no days; a value known before ``start`` is carried into it.
     """
-    first = F.lit(start) if start else F.min(date_col)
+    known = F.min(date_col)
+    first = F.least(F.lit(start), known) if start else known
     rows = df.select(*partition, F.col(date_col).alias("__have"), *value_cols)
     spine = (df.groupBy(*partition)
-             .agg(F.sequence(first, F.lit(end)).alias("__days"))
+             .agg(first.alias("__first"), known.alias("__known"))
+             .where(F.greatest("__first", "__known") <= F.lit(end))
+             .withColumn("__days", F.expr(f"sequence(__first, DATE '{end}')"))
              .select(*partition, F.explode("__days").alias(date_col)))
     marks = {p: f"__p{i}" for i, p in enumerate(partition)}
     rows = rows.withColumnsRenamed(marks)
@@ -109,6 +99,9 @@ def fill_forward_calendar(df: DataFrame, date_col: str, value_cols: Sequence[str
     window = Window.partitionBy(*partition).orderBy(date_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     filled = {c: F.last(c, ignorenulls=True).over(window) for c in value_cols}
-    return (joined.withColumns(filled)
+    days = joined.withColumns(filled)
+    if start:
+        days = days.where(F.col(date_col) >= F.lit(start))
+    return (days
             .select(*partition, date_col, *value_cols,
                     F.col("__have").isNull().alias("is_filled")))

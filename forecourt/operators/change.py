@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.operators.skew import hot_keys, lookup_join
+from forecourt.operators.skew import lookup_join
 
 
 def exclude_keys(df: DataFrame, seen: DataFrame, keys: Sequence[str],
@@ -40,8 +40,10 @@ def change_feed(new: DataFrame, old: DataFrame, keys: Sequence[str],
               .drop("__published"))
     if compare_cols is not None:
         whole = [*keys, *compare_cols]
-        tagged = lookup_join(tagged, old.select(*whole).distinct(), whole, "left_anti",
-                             null_safe=True, hot=hot_keys(new, whole))
+        same = old.select(*whole).distinct()
+        if not null_safe:  # by this rule a null key was never published, so nothing equals it
+            same = same.dropna(subset=list(keys))
+        tagged = lookup_join(tagged, same, whole, "left_anti", null_safe=True)
     gone = exclude_keys(old, new, keys, null_safe).withColumn(code, F.lit("D"))
     return tagged.unionByName(gone)
 

@@ -7,8 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.operators.skew import (broadcast_lookup, hot_keys, lookup_join,
-                                      small_enough)
+from forecourt.operators.skew import lookup_join
 
 
 def enrich_left(df: DataFrame, dimensions: Sequence[tuple[DataFrame, Mapping[str, str]]]
@@ -16,18 +15,13 @@ def enrich_left(df: DataFrame, dimensions: Sequence[tuple[DataFrame, Mapping[str
     """Left join dimensions, each given with a mapping own column -> its key.
 
     Each dimension must hold one row per key once full copies are dropped; the
-    caller reduces it first where it does not (``keep_latest``). A dimension is
-    counted first: a small one is broadcast and the rows stay where they are,
-    a larger one is joined by key with hot keys split.
+    caller reduces it first where it does not (``keep_latest``). The schema is the
+    same at any size; whether a dimension is broadcast is Spark's own decision by
+    its measured size.
     """
     joined = df
     for dimension, on in dimensions:
-        rows = dimension.distinct()
-        if small_enough(rows):
-            joined = broadcast_lookup(joined, rows, on)
-        else:
-            # own key columns do not change on the way, so they are counted on the input
-            joined = lookup_join(joined, rows, on, "left", hot=hot_keys(df, list(on)))
+        joined = lookup_join(joined, dimension.distinct(), on, "left")
     return joined
 
 

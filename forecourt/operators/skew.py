@@ -21,10 +21,6 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 HOT_KEYS = 10_000
 
-# A side is broadcast when it was counted to be within both limits.
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-
 JOIN_KINDS = ("inner", "left", "left_semi", "left_anti")
 
 
@@ -41,35 +37,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> Dat
             .select(*keys, F.expr(f"CAST(ceil(__rows / {size}) AS INT) AS pieces")))
 
 
-def small_enough(df: DataFrame) -> bool:
-    """Whether a side may be broadcast: counts its rows and bytes in one pass.
-
-    One row of two numbers comes to the driver. For dimensions, which are read
-    anyway; not for a side that is expensive to compute.
-    """
-    size = df.agg(F.count("*").alias("rows"),
-                  F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
-                  .alias("bytes")).first()
-    return size["rows"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES
-
-
 def keys_match(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Column:
     """Join condition over columns of different names on the two sides."""
     equal = "<=>" if null_safe else "="
     return F.expr(" AND ".join(f"`{a}` {equal} `{b}`" for a, b in zip(left, right, strict=True)))
 
 
-def broadcast_lookup(left: DataFrame, right: DataFrame, on: Mapping[str, str],
-                     how: str = "left") -> DataFrame:
-    """The same join with a right side that was found ``small_enough``."""
-    marks = [f"__r{i}" for i in range(len(on))]
-    rest = [c for c in right.columns if c not in on.values()]
-    right = right.select(*[F.col(k).alias(m) for k, m in zip(on.values(), marks, strict=True)],
-                         *rest)
-    match = keys_match(list(on), marks, null_safe=False)
-    return left.join(F.broadcast(right), match, how).drop(*marks)
-
-
 # The piece of its key a row was dealt to.
 PIECE = "__piece_nbr"
 
@@ -116,10 +89,18 @@ def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Mapping[s
     """Join ``left`` with a side that has **at most one row per key**.
 
     ``on`` is a list of shared names or a mapping left name -> right name; the
-    right key columns are not repeated in the result. ``hot`` is what
-    ``hot_keys`` gives for the left keys. Pass it when an input that is cheaper
-    than ``left`` has the same keys at least as often.
+    right key columns are not repeated in the result. It is a plain join, whose
+    skew Spark handles, unless ``hot`` asks for splitting: what ``hot_keys`` gives
+    for the left keys, or for those of a cheaper input with the same keys.
     """
-    keys = list(on)
-    hot = hot_keys(left, keys) if hot is None else hot
-    return join_dealt(deal(left, keys, hot), right, on, how, hot, null_safe).drop(PIECE)
+    if hot is not None:
+        return join_dealt(deal(left, list(on), hot), right, on, how, hot, null_safe).drop(PIECE)
+    if how not in JOIN_KINDS:
+        raise ValueError(f"how must be one of {JOIN_KINDS}")
+    pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
+    marks = [f"__r{i}" for i in range(len(pairs))]
+    taken = {v.lower() for v in pairs.values()}
+    named = right.selectExpr(
+        *[f"`{v}` AS {r}" for v, r in zip(pairs.values(), marks, strict=True)],
+        *[f"`{c}`" for c in right.columns if c.lower() not in taken])
+    return left.join(named, keys_match(list(pairs), marks, null_safe), how).drop(*marks)

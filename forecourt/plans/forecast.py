@@ -14,8 +14,9 @@ from forecourt.operators.enrich import enrich_left
 from forecourt.plans.targets import DEALER_FORECAST, SYSTEM_MESSAGE
 from forecourt.session import materialize
 
-FORECAST_KEYS = ["biz_assoc_cd", "iso_ctry_cd", "data_upd_dt", "frcst_model_cd", "frcst_rpt_dt",
-                 "kpi_type_cd", "sell_src_cd"]
+# the load time is payload: a row that is loaded again is the same row
+FORECAST_KEYS = ["biz_assoc_cd", "iso_ctry_cd", "frcst_model_cd", "frcst_rpt_dt", "kpi_type_cd",
+                 "sell_src_cd"]
 MESSAGE_KEYS = ["ntl_cd", "sys_cd", "sys_desc", "sys_msg_identity"]
 
 

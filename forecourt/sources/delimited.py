@@ -98,10 +98,12 @@ def read_headed(spark: SparkSession, path: str | list[str], schema: StructType,
     ``table.column`` names lose the table, line breaks become ``_``, a byte
     order mark is ignored. Columns of the schema must all be there; others are
     dropped. ``multi_line`` is for headers that hold line breaks; such files
-    are read in one piece each, so keep it for sheet exports.
+    are read in one piece each, so keep it for sheet exports. Files of one read
+    must have the same header; Spark fails on a file whose columns differ in name
+    or order, so none is read by position.
     """
     raw = (spark.read.option("sep", sep).option("header", True).option("multiLine", multi_line)
-           .option("inferSchema", False).csv(path))
+           .option("inferSchema", False).option("enforceSchema", False).csv(path))
     tidy = raw.toDF(*[plain_header(c) for c in raw.columns])
     missing = [f.name for f in schema.fields if f.name.lower() not in tidy.columns]
     if missing:

@@ -8,7 +8,6 @@ from pyspark.sql.types import DateType, IntegerType, StringType, StructField, St
 
 from conftest import plan_of, rows
 from forecourt.operators.audit import conform, conform_positional, with_audit
-from forecourt.operators import skew
 from forecourt.operators.change import change_feed, exclude_keys, latest_slice
 from forecourt.operators.enrich import apply_overrides, enrich_left
 from forecourt.operators.load import (append_if_new, new_files, overwrite, overwrite_table,
@@ -74,25 +73,32 @@ def test_enrich_and_overrides(frame):
     assert rows(apply_overrides(df, "c", "c", {"x": "z"})) == [(1, "z"), (2, "y"), (None, "z")]
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_enrich_with_large_and_small_dimensions(frame, monkeypatch, limit):
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
-    monkeypatch.setattr(skew, "HOT_ROWS", 10)
+@pytest.mark.parametrize("size", ["-1", "10MB"])
+def test_enrich_is_the_same_with_and_without_broadcast(spark, frame, size):
     df = frame([(1, i) for i in range(50)] + [(None, i) for i in range(30)] + [(2, 1)],
                "id int, v int")
-    dim = frame([(1, "one"), (3, "three")], "key int, name string")
-    got = enrich_left(df, [(dim, {"id": "key"})])
-    assert rows(got.groupBy("id", "name").count()) == [
-        (1, "one", 50), (2, None, 1), (None, None, 30)]
-    if limit:
-        assert "Exchange hashpartitioning" not in plan_of(got).split("BroadcastExchange")[0]
-
-
-def test_broadcast_needs_few_rows_and_bytes(frame, monkeypatch):
-    df = frame([("x" * 1000,)] * 3, "v string")
-    assert skew.small_enough(df) and skew.small_enough(df.where("v = ''"))
-    monkeypatch.setattr(skew, "BROADCAST_BYTES", 1000)
-    assert not skew.small_enough(df)
+    dim = frame([(1, "one"), (3, "three")], "DIM_KEY int, name string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    try:
+        got = enrich_left(df, [(dim, {"id": "dim_key"})])
+        assert got.columns == ["id", "v", "name"]
+        assert rows(got.groupBy("id", "name").count()) == [
+            (1, "one", 50), (2, None, 1), (None, None, 30)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_feed_with_compare_and_null_keys_loses_no_row(frame, null_safe):
+    new = old = frame([(None, 1), (1, 1)], "k int, v int")
+    feed = change_feed(new, old, ["k"], compare_cols=["v"], null_safe=null_safe)
+    assert rows(feed) == ([] if null_safe else [(None, 1, "D"), (None, 1, "I")])
+
+
+def test_a_reload_of_the_forecast_is_an_update():
+    from forecourt.plans.forecast import FORECAST_KEYS
+    assert "data_upd_dt" not in FORECAST_KEYS
 
 
 def test_reconcile_counts_copies(frame):

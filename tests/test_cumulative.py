@@ -220,15 +220,33 @@ def test_no_load_on_monday():
     assert counts == {True: 12, False: 2}
 
 
-def test_calendar_joins_do_not_move_the_rows(spark, calendar, tmp_path):
+def test_calendar_join_keeps_every_day_and_row(frame):
     from forecourt.operators.calendar import calendar_enrich
-    path = str(tmp_path / "rows")
-    spark.range(10).selectExpr("id", "date'2023-01-05' AS rpt_dt").write.parquet(path)
-    df = calendar_enrich(spark.read.parquet(path), calendar, ["curr_mth_start_dt"])
-    assert rows(df.select("curr_mth_start_dt").distinct()) == [(D(2023, 1, 1),)]
-    assert df.count() == 10
-    assert "Exchange" not in plan_of(df).split("BroadcastExchange")[0].replace(
-        "BroadcastHashJoin", "")
+    days = [D(1899, 5, 2), D(2000, 5, 2), D(2101, 5, 2)]
+    calendar = frame([(d, i, "US") for i, d in enumerate(days)] + [
+        (days[1], 7, "US"), (days[1], 8, "CA")], "sales_thru_dt date, x int, iso_ctry_cd string")
+    df = frame([(d + dt.timedelta(days=1),) for d in days], "rpt_dt date")
+    got = calendar_enrich(df, calendar, ["x"], country="US")
+    assert [r[0] for r in rows(got.select("x"))] == [0, 1, 2, 7]
+
+
+def test_spine_neither_runs_backwards_nor_forgets(frame):
+    from forecourt.operators.calendar import fill_forward_calendar
+    df = frame([("a", D(2023, 1, 9), 1), ("b", D(2023, 1, 1), 2)], "p string, d date, v int")
+    late = fill_forward_calendar(df, "d", ["v"], D(2023, 1, 5), partition=["p"])
+    assert {r.p for r in late.collect()} == {"b"} and late.count() == 5
+    begun = fill_forward_calendar(df, "d", ["v"], D(2023, 1, 5), D(2023, 1, 3), ["p"])
+    assert [(r.p, r.d.day, r.v) for r in begun.orderBy("p", "d").collect()] == [
+        ("b", 3, 2), ("b", 4, 2), ("b", 5, 2)]
+
+
+def test_serials_and_percentages(frame):
+    from forecourt.functions.dates import excel_serial_date
+    from forecourt.functions.text import percent_parse
+    df = frame([("45017", "+.5%"), ("20230401", "5")], "s string, p string")
+    got = df.select(excel_serial_date(df.s), percent_parse(df.p)).collect()
+    assert got[0][0] == D(2023, 4, 1) and float(got[0][1]) == 0.005
+    assert tuple(got[1]) == (None, None)
 
 
 def test_audit_stamp_is_a_wall_clock(spark):
