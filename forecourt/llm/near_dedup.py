@@ -290,8 +290,9 @@ class _Search:
         marks = np.zeros(self.bits // 8, np.uint8)
         found = (wanted.select("digest").mapInArrow(_marks(self.bits), "at long, byte long")
                  .groupBy("at").agg(F.bit_or("byte").alias("byte")))
-        for at, byte in found.toLocalIterator():
-            marks[at] = byte
+        # at most bits / 8 rows, however many texts there are, and one job
+        found = found.toArrow()
+        marks[found["at"].to_numpy()] = found["byte"].to_numpy()
         sets = (self.docs.select("text").mapInArrow(
             _wanted_sets(self.size, self.bits, marks.tobytes()),
             "digest binary, members array<long>").groupBy("digest")
