@@ -18,14 +18,21 @@ def _stars(links: DataFrame, small: bool) -> DataFrame:
     least = (sided.groupBy("u").agg(F.min("w").alias("m"))
              .select(F.col("u").alias("v"), F.least("u", "m").alias("m")))
     hung = sided.join(least, F.col("u") == F.col("v")).select("u", "w", "m")
-    if small:
-        pairs = hung.select(F.col("w").alias("a"), F.col("m").alias("b")).union(
-            least.select("v", "m"))
-    else:
-        pairs = hung.where("w > u").select(F.col("w").alias("a"), F.col("m").alias("b"))
+    if not small:  # a row for each link at most, so repeats can wait for the other step
+        return hung.where("w > u AND w <> m").select(F.col("w").alias("a"), F.col("m").alias("b"))
+    pairs = hung.select(F.col("w").alias("a"), F.col("m").alias("b")).union(
+        least.select("v", "m"))
     return pairs.where("a <> b").distinct()
 
 
+def _all_stars(links: DataFrame) -> bool:
+    """Whether every node hangs on one node at most, and on none if others hang on it."""
+    roles = links.select(F.col("a").alias("v"), F.lit(1).alias("hangs")).union(
+        links.select("b", F.lit(0)))
+    return (roles.groupBy("v").agg(F.sum("hangs").alias("times"), F.min("hangs").alias("least"))
+            .where("times > 1 OR times = 1 AND least = 0").isEmpty())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (long ``a``, long ``b``); root is the least node.
 
@@ -34,13 +41,9 @@ def components(links: DataFrame) -> DataFrame:
     is left out.
     """
     now = stored(links.where("a <> b").distinct(), "links")
-    mark = None
     while True:
         now = stored(_stars(_stars(now, small=False), small=True), "stars")
-        state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")))
-                      .first())
-        if state == mark:
+        if _all_stars(now):
             break
-        mark = state
     leaves = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return leaves.union(leaves.select("root", "root").distinct())
