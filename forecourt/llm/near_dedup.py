@@ -331,8 +331,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     roots = stored(components(links), "roots")
     rest = stored(search.likely(search.across(near, roots)), "likely")
     if not rest.isEmpty():
-        links = links.union(search.compared(rest).where("linked").select("a", "b"))
-        roots = stored(components(links), "roots")
+        more = stored(search.compared(rest).where("linked").select("a", "b"), "links")
+        if not more.isEmpty():
+            roots = stored(components(
+                roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)),
+                "roots")
     rooted = search.classes.join(roots, F.col("cls") == F.col("node"), "left").select(
         "digest", "doc_id", F.coalesce("root", "cls").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
