@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from forecourt.fixed_values import DELIVERY_KPI_TYPES, SELLING_SOURCES
 from forecourt.functions.text import code_label
+from forecourt.operators.change import exclude_keys
 from forecourt.operators.ranking import (first_and_last, keep_first, keep_latest,
                                          sequence_numbers)
 from forecourt.operators.skew import deal, hot_keys, join_dealt, lookup_join
@@ -116,9 +117,15 @@ def event_history(events: DataFrame, owners: DataFrame, as_of: dt.date) -> DataF
 
 
 def new_events(events: DataFrame, owners: DataFrame, as_of: dt.date) -> DataFrame:
-    """Events first seen in the file of ``as_of``, with the vehicle's last dealer."""
-    first_seen = keep_first(events.select(*EVENT_COLUMNS), EVENT_KEYS, ["todaydate"])
-    today = first_seen.where(F.col("todaydate") == F.lit(as_of))
+    """Events first seen in the file of ``as_of``, with the vehicle's last dealer.
+
+    A copy without a file date counts as seen before.
+    """
+    seen, day = events.select(*EVENT_COLUMNS), F.lit(as_of)
+    # the day's rows first: of the history only the keys of earlier files are read
+    today = exclude_keys(
+        keep_first(seen.where(F.col("todaydate") == day), EVENT_KEYS, ["todaydate"]),
+        seen.where((F.col("todaydate") < day) | F.col("todaydate").isNull()), EVENT_KEYS)
     last = ends(owners, payload=OWNER_COLUMNS).select("veh_id_nbr", "last.*")
     hot = hot_keys(events.where(F.col("todaydate") == F.lit(as_of)), ["vin"])
     joined = lookup_join(today, last, {"vin": "veh_id_nbr"}, hot=hot)

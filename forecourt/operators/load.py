@@ -62,6 +62,9 @@ def rows_to_append(df: DataFrame, existing: DataFrame, keys: Sequence[str],
     ``load``: all of it, or nothing when any of its keys is present already.
     ``key``: the rows whose key is not present.
     """
+    for key in keys:  # only what can match is read; of a partitioned table, only such folders
+        least, most = df.agg(F.min(key)).scalar(), df.agg(F.max(key)).scalar()
+        existing = existing.where(F.col(key).between(least, most) | F.col(key).isNull())
     if granularity == "key":
         return exclude_keys(df, existing, keys)
     if granularity != "load":

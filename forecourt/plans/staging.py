@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.functions.dates import loads_on
-from forecourt.operators.load import append, append_if_new, overwrite
+from forecourt.operators.load import append_if_new, overwrite
 from forecourt.operators.objectives import objective_sheets
 from forecourt.sources import feeds
 from forecourt.sources.delimited import FILE_COLUMN, convert_columns
@@ -21,8 +21,9 @@ from forecourt.streaming.ingest import ingest_new_files, stream_delimited, strea
 def stage_model_snapshots(spark: SparkSession, path, out: str, as_of: dt.date) -> int:
     """Append snapshot files whose report dates are new; nothing on a day without a load.
 
-    The table is laid out by report date, so looking up the dates that are
-    there reads no data.
+    The table is laid out by report date, and only the folders from the least to the
+    greatest incoming date are looked up. Files without a date in their name are left
+    out (``read_model_snapshots`` with ``undated`` lists them).
     """
     if not loads_on(as_of):
         return 0
@@ -76,7 +77,8 @@ def objective_stage_rows(sheets: dict[str, DataFrame], process_date: dt.date, jo
 
 def stage_objective_sheets(spark: SparkSession, small_business, dealer_fleet, out: str,
                            process_date: dt.date, job_id: str, mod_ts: Column) -> int:
-    """Append the two exported sheets of an objective workbook."""
+    """Append the two exported sheets of an objective workbook, once for a process date."""
     sheets = {"small_business": feeds.read_objective_sheet(spark, small_business, "SB"),
               "dealer_fleet": feeds.read_objective_sheet(spark, dealer_fleet, "DF")}
-    return append(objective_stage_rows(sheets, process_date, job_id, mod_ts), out)
+    return append_if_new(objective_stage_rows(sheets, process_date, job_id, mod_ts), out,
+                         ["process_date"])

@@ -66,10 +66,15 @@ OBJECTIVE_SHEET = columns(
     ("zero_dealer_adjusted", TEXT), ("mor_adjusted", TEXT), ("be_dealer", TEXT))
 
 
-def read_model_snapshots(spark: SparkSession, path) -> DataFrame:
-    """Daily ``~`` files, dated by their name, with report and sales-through date."""
-    feed = read_delimited(spark, path, MODEL_SNAPSHOT, sep="~", with_file=True)
-    return report_dates(with_file_date(feed)).drop(FILE_COLUMN, "file_date")
+def read_model_snapshots(spark: SparkSession, path, undated: bool = False) -> DataFrame:
+    """Daily ``~`` files, dated by their name, with report and sales-through date.
+
+    ``undated`` gives the rows of files whose name has no date instead, with the file.
+    """
+    feed = with_file_date(read_delimited(spark, path, MODEL_SNAPSHOT, sep="~", with_file=True))
+    if undated:
+        return feed.where(F.col("file_date").isNull()).drop("file_date")
+    return report_dates(feed.dropna(subset=["file_date"])).drop(FILE_COLUMN, "file_date")
 
 
 def read_retired_events(spark: SparkSession, path) -> DataFrame:

@@ -11,7 +11,7 @@ from forecourt.operators.audit import conform, conform_positional, with_audit
 from forecourt.operators.change import change_feed, exclude_keys, latest_slice
 from forecourt.operators.enrich import apply_overrides, enrich_left
 from forecourt.operators.load import (append_if_new, new_files, overwrite, overwrite_table,
-                                      shift_file_date, verify_write)
+                                      rows_to_append, shift_file_date, verify_write)
 from forecourt.operators.objectives import objective_sheets
 from forecourt.operators.reconcile import reconcile_counts, reconcile_sets, same_rows
 
@@ -170,3 +170,18 @@ def test_objectives(frame):
     got = objective_sheets(sheets, D(2023, 6, 1))
     assert rows(got.select("bac", "isas", "kpi_type_code", "objective")) == [
         (1, "ZZZ", 711, 6), (1, "ZZZ", 716, 5), (2, "TXX", 714, 8), (2, "TXX", 715, 7)]
+
+
+def test_only_folders_that_can_match_are_looked_up(spark, frame, day, tmp_path):
+    path = str(tmp_path / "parts")
+    old = frame([(1, day("2024-01-01")), (2, day("2024-01-02")), (3, None)], "k int, d date")
+    assert append_if_new(old, path, ["d"], partition_by=["d"]) == 3
+    new = frame([(4, day("2024-01-02")), (5, day("2024-01-03"))], "k int, d date")
+    left = rows_to_append(new, spark.read.parquet(path), ["d"], "key")
+    filters = plan_of(left).split("PartitionFilters: [")[1].split("]")[0]
+    assert "subquery" in filters
+    assert [r.k for r in left.collect()] == [5]
+    undated = frame([(6, None), (7, day("2024-01-04"))], "k int, d date")
+    assert [r.k for r in rows_to_append(undated, spark.read.parquet(path), ["d"], "key")
+            .collect()] == [7]
+    assert append_if_new(frame([(8, None)], "k int, d date"), path, ["d"], "key") == 0

@@ -172,7 +172,8 @@ def test_same_file_and_dealer_as_the_first_event_is_left_out(frame):
 def test_new_events_are_those_first_seen_today(frame):
     today = "2023-06-01"
     events = frame([ev("A", "2023-03-01", today), ev("B", "2023-03-01", today),
-                    ev("B", "2023-03-01", "2023-05-01")], EVENT)
+                    ev("B", "2023-03-01", "2023-05-01"), ev("A", "2023-03-01", today),
+                    ev("A", "2023-03-01", "2023-07-01")], EVENT)
     owners = frame([own("A", 1, "2023-01-01"), own("A", 2, "2023-02-01"),
                     own("B", 3, "2023-01-01")], OWNER)
     assert short(attribution.new_events(events, owners, D(2023, 6, 1))) == [

@@ -53,6 +53,16 @@ def test_snapshot_staging_is_idempotent(spark, tmp_path):
     assert staging.stage_model_snapshots(spark, path, out, tuesday) == 0
 
 
+def test_a_file_without_a_date_blocks_no_other(spark, tmp_path):
+    put(tmp_path / "in", "SNAPSHOT_new.txt", snapshot_line("CAR Y", *range(12)))
+    folder, out, day = str(tmp_path / "in"), str(tmp_path / "out"), D(2023, 5, 2)
+    assert staging.stage_model_snapshots(spark, folder, out, day) == 0
+    put(tmp_path / "in", "SNAPSHOT_20230502.txt", snapshot_line("CAR X", *range(12)))
+    assert staging.stage_model_snapshots(spark, folder, out, day) == 1
+    undated = feeds.read_model_snapshots(spark, folder, undated=True)
+    assert rows(undated.select("model_nm", "dec")) == [("CAR Y", 11)]
+
+
 EVENT_LINE = "V{0}|01/0{0}/2023|1200|12/15/2023||45|N/A"
 
 
@@ -151,6 +161,8 @@ def test_objective_sheets_from_exports(spark, tmp_path):
     n = staging.stage_objective_sheets(spark, sb, df, out, D(2023, 6, 1), "job",
                                        F.lit("2024-01-01").cast("timestamp"))
     assert n == 4
+    assert staging.stage_objective_sheets(spark, sb, df, out, D(2023, 6, 1), "job",
+                                          F.lit("2024-01-02").cast("timestamp")) == 0
     got = spark.read.parquet(out).select("bac", "isas", "kpi_type_code", "objective",
                                          "average_recent_sales", "dw_anom_flg")
     assert rows(got) == [

@@ -73,6 +73,11 @@ def wide_month_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cumulative.wide_month_sum(snapshots(spark, sf_dir))
 
 
+def flagged(df: DataFrame, *names: str) -> DataFrame:
+    """Nulls as -1, and a column that tells them from a real -1."""
+    return df.withColumns({f"no_{n}": F.col(n).isNull() for n in names}).fillna(-1, subset=names)
+
+
 RESET_SQL = """
 reset AS (SELECT s.rpt_dt, h.sales_thru_dt, h.rpt_mth_nbr,
        CAST(sum(CASE WHEN s.sales_through_dt IN (h.curr_yr_start_dt - 1, h.prior_yr_start_dt - 1)
@@ -170,10 +175,11 @@ lag_daily AS (SELECT rpt_dt, sales_thru_dt, curr_mth_start_dt,
 
 @query(WITH + "," + LAG_SQL + """
 SELECT rpt_dt, sales_thru_dt, curr_mth_start_dt, mth_to_dt_sales_cnt,
-       CAST(coalesce(day_sales_cnt, -1) AS BIGINT) AS day_sales_cnt FROM lag_daily""")
+       CAST(coalesce(day_sales_cnt, -1) AS BIGINT) AS day_sales_cnt,
+       day_sales_cnt IS NULL AS no_day_sales_cnt FROM lag_daily""")
 def daily_from_mtd_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cumulative.daily_from_mtd_lag(
-        snapshots(spark, sf_dir), calendar(spark, sf_dir)).fillna(-1, subset=["day_sales_cnt"])
+    return flagged(cumulative.daily_from_mtd_lag(
+        snapshots(spark, sf_dir), calendar(spark, sf_dir)), "day_sales_cnt")
 
 
 def mtd_sql(days: str) -> str:
@@ -198,15 +204,17 @@ MERGE_KEYS = "rpt_dt, sales_thru_dt, rpt_mth_nbr, sales_mth_cat_nbr"
 
 @query(MERGE_SQL + f"""
 SELECT {MERGE_KEYS}, {LABELS}, CAST(coalesce(daily_sales, -1) AS BIGINT) AS day_sales_cnt,
+       daily_sales IS NULL AS no_day_sales_cnt,
        CAST(mtd_sales AS BIGINT) AS mth_to_dt_sales_cnt
 FROM daily JOIN mtd USING ({MERGE_KEYS})""")
 def daily_mtd_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_and_mtd(snapshots(spark, sf_dir), calendar(spark, sf_dir), AS_OF,
-                         base_year=BASE_YEAR).fillna(-1, subset=["day_sales_cnt"])
+    return flagged(daily_and_mtd(snapshots(spark, sf_dir), calendar(spark, sf_dir), AS_OF,
+                                 base_year=BASE_YEAR), "day_sales_cnt")
 
 
 @query(MERGE_SQL + f"""
 SELECT {MERGE_KEYS}, {LABELS}, CAST(coalesce(daily_sales, -1) AS BIGINT) AS day_sales_cnt,
+       daily_sales IS NULL AS no_day_sales_cnt,
        CAST(mtd_sales AS BIGINT) AS mth_to_dt_sales_cnt, '171749' AS src_sys_id,
        rpt_dt || '|' || sales_thru_dt || '|' || sales_mth_cat_nbr || '|171749'
            AS src_sys_uniq_prim_key_val,
@@ -217,14 +225,15 @@ FROM daily JOIN mtd USING ({MERGE_KEYS})""")
 def fleet_fact_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = fleet_fact(snapshots(spark, sf_dir), calendar(spark, sf_dir), AS_OF, "fleet-fact",
                       stamp(), base_year=BASE_YEAR)
-    return (fact.withColumn("dw_mod_dt", F.to_date("dw_mod_ts")).drop("dw_mod_ts")
-            .fillna(-1, subset=["day_sales_cnt"]))
+    return flagged(fact.withColumn("dw_mod_dt", F.to_date("dw_mod_ts")).drop("dw_mod_ts"),
+                   "day_sales_cnt")
 
 
 @query(WITH + "," + LAG_SQL + f"""
 SELECT rpt_dt, l.sales_thru_dt, mth_to_dt_sales_cnt, rpt_mth_nbr,
        {month_name('rpt_mth_nbr')} AS rpt_mth_abbr_txt,
-       CAST(coalesce(day_sales_cnt, -1) AS BIGINT) AS day_sales_cnt, '315' AS src_sys_id,
+       CAST(coalesce(day_sales_cnt, -1) AS BIGINT) AS day_sales_cnt,
+       day_sales_cnt IS NULL AS no_day_sales_cnt, '315' AS src_sys_id,
        rpt_dt || '|' || l.sales_thru_dt || '|315' AS src_sys_uniq_prim_key_val,
        'rpt_dt|sales_thru_dt|src_sys_id' AS src_sys_uniq_prim_key_col_val,
        CAST(1 AS BIGINT) AS meas_cnt, 'N' AS dw_anom_flg, DATE '{STAMP}' AS dw_mod_dt,
@@ -233,8 +242,8 @@ FROM lag_daily l JOIN cal ON cal.sales_thru_dt = l.sales_thru_dt""")
 def fleet_lag_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = fleet_lag_fact(snapshots(spark, sf_dir), calendar(spark, sf_dir), "fleet-lag",
                           stamp(), source_id="315")
-    return (fact.withColumn("dw_mod_dt", F.to_date("dw_mod_ts")).drop("dw_mod_ts")
-            .fillna(-1, subset=["day_sales_cnt"]))
+    return flagged(fact.withColumn("dw_mod_dt", F.to_date("dw_mod_ts")).drop("dw_mod_ts"),
+                   "day_sales_cnt")
 
 
 FILLED_SQL = f"""
@@ -290,27 +299,30 @@ def ytd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(WITH + "," + KPI_SQL + """
-SELECT rpt_dt, prior_rpt_dt, CAST(coalesce(prior_ytd_sales, -1) AS BIGINT) AS prior_ytd_sales
+SELECT rpt_dt, prior_rpt_dt, CAST(coalesce(prior_ytd_sales, -1) AS BIGINT) AS prior_ytd_sales,
+       prior_ytd_sales IS NULL AS no_prior_ytd_sales
 FROM both_years""")
 def prior_ytd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpi.prior_ytd(_spine(spark, sf_dir)).fillna(-1, subset=["prior_ytd_sales"])
+    return flagged(kpi.prior_ytd(_spine(spark, sf_dir)), "prior_ytd_sales")
 
 
 @query(WITH + "," + KPI_SQL + """
 SELECT rpt_dt, CAST(ytd_sales AS BIGINT) AS ytd_sales,
-       CAST(prior_ytd_sales AS BIGINT) AS prior_ytd_sales,
-       CAST(ytd_sales - prior_ytd_sales AS BIGINT) AS variance
-FROM both_years WHERE prior_ytd_sales IS NOT NULL""")
+       CAST(coalesce(prior_ytd_sales, -1) AS BIGINT) AS prior_ytd_sales,
+       prior_ytd_sales IS NULL AS no_prior_ytd_sales,
+       CAST(coalesce(ytd_sales - prior_ytd_sales, -1) AS BIGINT) AS variance,
+       ytd_sales - prior_ytd_sales IS NULL AS no_variance
+FROM both_years""")
 def ytd_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpi.ytd_variance(_spine(spark, sf_dir)).dropna(subset=["variance"])
+    return flagged(kpi.ytd_variance(_spine(spark, sf_dir)), "prior_ytd_sales", "variance")
 
 
 @query(WITH + "," + KPI_SQL + """
 SELECT rpt_dt, CASE WHEN coalesce(prior_ytd_sales, 0) = 0 THEN -1.0
                     ELSE round((ytd_sales - prior_ytd_sales) / CAST(prior_ytd_sales AS DOUBLE), 9)
-               END AS percent_change
+               END AS percent_change, coalesce(prior_ytd_sales, 0) = 0 AS no_percent_change
 FROM both_years""")
 def ytd_pct_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     change = kpi.ytd_pct_change(_spine(spark, sf_dir))
-    return change.select("rpt_dt", F.round("percent_change", 9).alias("percent_change")).fillna(
-        -1.0, subset=["percent_change"])
+    return flagged(change.select("rpt_dt", F.round("percent_change", 9).alias("percent_change")),
+                   "percent_change")
