@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 import oracle
 from forecourt.llm import (
+    components,
     exact_dedup,
     hmm,
     language,
@@ -386,6 +387,29 @@ def test_a_cluster_around_one_text_loses_no_link(spark):
     assert shape_of(near_dedup.near_duplicates(frame, shingle=4)) == components_of(rows, 4)
 
 
+def test_components_of_chains_stars_and_repeats(spark):
+    random = np.random.default_rng(4)
+    pairs = [(i, i + 1) for i in range(0, 40)]  # a chain
+    pairs += [(100, int(i)) for i in random.permutation(60) + 101]  # a star
+    pairs += [(int(a) + 200, int(b) + 200) for a, b in random.integers(0, 60, (45, 2))]
+    pairs += [(b, a) for a, b in pairs[::3]] + [(500, 500), (501, None), (None, None)]
+    root = {}
+
+    def find(k):
+        while root.setdefault(k, k) != k:
+            k = root[k]
+        return k
+
+    for a, b in pairs:
+        if a is not None and b is not None and a != b:
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    links = spark.createDataFrame(pairs, "a long, b long")
+    found = components.components(links).collect()
+    assert sorted(map(tuple, found)) == sorted((k, find(k)) for k in list(root))
+    assert components.components(links.limit(0)).count() == 0
+
+
 # --- 6 quality
 
 
