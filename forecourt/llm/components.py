@@ -33,17 +33,22 @@ def _all_stars(links: DataFrame) -> bool:
             .where("times > 1 OR times = 1 AND least = 0").isEmpty())
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``links`` (long ``a``, long ``b``); root is the least node.
+def stars(links: DataFrame) -> DataFrame:
+    """(a, b) for every node of ``links`` (long ``a``, long ``b``) but the roots; b is a's root.
 
-    Each step works on written tables, and links stay in them. Rounds grow with the
-    logarithm of the longest path. A node that only links to itself, or to null,
-    is left out.
+    The root is the least node of a component. ``links`` is read twice, so it should be
+    a written table. Each step works on written tables, and links stay in them. Rounds
+    grow with the logarithm of the longest path. A node that only links to itself, or to
+    null, is left out.
     """
-    now = stored(links.where("a <> b").distinct(), "links")
+    now = links.where("a <> b")
     while True:
         now = stored(_stars(_stars(now, small=False), small=True), "stars")
         if _all_stars(now):
-            break
-    leaves = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            return now
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, root) for every node of ``links``, the roots included; see ``stars``."""
+    leaves = stars(links).select(F.col("a").alias("node"), F.col("b").alias("root"))
     return leaves.union(leaves.select("root", "root").distinct())

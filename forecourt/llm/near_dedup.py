@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.components import components
+from forecourt.llm.components import stars
 from forecourt.llm.shared import stored
 
 SHINGLE = 5
@@ -239,9 +239,9 @@ class _Search:
         return (pairs.where(apart * up <= (F.col("nx") + F.col("ny")) * down)
                 .select(F.col("x").alias("a"), F.col("y").alias("b")))
 
-    def across(self, near: DataFrame, roots: DataFrame) -> DataFrame:
+    def across(self, near: DataFrame, hung: DataFrame) -> DataFrame:
         """Pairs of members of a list in different components, not both compared with its pivot."""
-        known = roots.select(F.col("node").alias("k"), F.col("root").alias("r"))
+        known = hung.select(F.col("a").alias("k"), F.col("b").alias("r"))
         done = near.select(F.col("a").alias("da"), F.col("b").alias("db"))
         placed = (self.lists.join(known, F.col("cls") == F.col("k"), "left")
                   .withColumn("root", F.coalesce("r", "cls")))
@@ -328,14 +328,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                   "near")
     links = stored(near.where("linked").select("a", "b").union(search.by_difference(near)),
                    "links")
-    roots = stored(components(links), "roots")
-    rest = stored(search.likely(search.across(near, roots)), "likely")
+    hung = stars(links)  # roots are not listed, a class that is not is its own
+    rest = stored(search.likely(search.across(near, hung)), "likely")
     if not rest.isEmpty():
         more = stored(search.compared(rest).where("linked").select("a", "b"), "links")
         if not more.isEmpty():
-            roots = stored(components(
-                roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)),
-                "roots")
+            hung = stars(hung.union(more))
+    roots = hung.select(F.col("a").alias("node"), F.col("b").alias("root"))
     rooted = search.classes.join(roots, F.col("cls") == F.col("node"), "left").select(
         "digest", "doc_id", F.coalesce("root", "cls").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
