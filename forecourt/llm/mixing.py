@@ -3,10 +3,15 @@
 Documents are dealt into shards and, within a shard, each source's documents are
 laid end to end in a seeded order: a line that is cut into blocks of ``block``
 words. The shard's blocks are awarded to its sources one after the other by the
-highest quotient target / (2 * awarded + 1), which gives whole quotas. A quota of
-q blocks out of n takes the line q // n times, and once more its first q % n
-blocks. As the order is seeded, that is a seeded choice of blocks, and only the
-document at the cut is taken in part.
+highest quotient target / (2 * awarded + 1), which gives whole quotas. A quota
+takes its blocks' words: the line as often as it fits, and once more the line's
+first words. As the order is seeded, that is a seeded choice of blocks, and only
+the document at the cut is taken in part.
+
+A quota is off by about a block, alike in every shard. So a source is dealt over
+no more shards than leave it ``LEAST_BLOCKS`` blocks to take in each: however many
+shards the corpus has, a source comes within a fraction of a percent of its
+target, or within a few blocks if it is smaller than that.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from forecourt.llm.shared import few_rows, stored, text_or_empty, word_count
 WEIGHTS = (1, 2, 3)
 BLOCK = 16
 SHARD_WORDS = 1 << 17
+LEAST_BLOCKS = 256
 MOST_SOURCES = 100_000
 CELLS = 1 << 16
 
@@ -85,7 +91,9 @@ def _quotas(block: int, most: int):
         blocks = -(-cells["cell"] // block)
         seats = int(cells["goal"].sum() / block + 0.5)
         quota = apportion(cells["goal"].tolist(), (blocks * most).tolist(), seats)
-        return cells.assign(blocks=blocks, quota=quota)[["shard", "source", "blocks", "quota"]]
+        # the last block of a line may be a short one
+        words = (pd.Series(quota, cells.index, "int64") * block).clip(upper=cells["cell"] * most)
+        return cells.assign(words=words)[["shard", "source", "cell", "words"]]
 
     return of
 
@@ -118,30 +126,35 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     given = [weights[i % len(weights)] for i in range(len(sizes))]
     targets = source_targets(sizes, given, share * sum(sizes), most)
     shards = max(1, min(CELLS, -(-sum(sizes) // shard_words)))
+    parts = [max(1, min(shards, int(min(n, t)) // (block * LEAST_BLOCKS)))
+             for n, t in zip(sizes, targets, strict=True)]
     spark = docs.sparkSession
-    goals = spark.createDataFrame(
-        [(r["source"], r["size"], t) for r, t in zip(totals, targets, strict=True)],
-        "goal_source string, source_size long, target double")
-    shard = F.expr(f"CAST(CAST(fine AS BIGINT) * {shards} DIV {CELLS} AS INT)")
-    cells = (fine.groupBy(shard.alias("shard"), "source").agg(F.sum("cell").alias("cell"))
-             .join(goals, F.col("source").eqNullSafe(F.col("goal_source")))
+    # at most MOST_SOURCES rows that were on the driver; a join by source would have hot keys
+    goals = F.broadcast(spark.createDataFrame(
+        [(r["source"], r["size"], t, n) for r, t, n in zip(totals, targets, parts, strict=True)],
+        "goal_source string, source_size long, target double, parts long"))
+    of_source = F.col("source").eqNullSafe(F.col("goal_source"))
+    # parts are spread over the shards, those of different sources from different ones on
+    shard = F.expr(f"CAST(((CAST(fine AS BIGINT) * parts DIV {CELLS}) * {shards} DIV parts "
+                   f"+ pmod(xxhash64(source), {shards})) % {shards} AS INT)")
+    cells = (fine.join(goals, of_source).withColumn("shard", shard)
+             .groupBy("shard", "source", "source_size", "target").agg(F.sum("cell").alias("cell"))
              .withColumn("goal", F.when(F.col("source_size") > 0, F.col("target") * F.col("cell")
                                         / F.col("source_size")).otherwise(0.0)))
     quotas = (cells.select("shard", "source", "cell", "goal").groupBy("shard")
               .applyInPandas(_quotas(block, most),
-                             "shard int, source string, blocks long, quota long")
-              .join(goals, F.col("source").eqNullSafe(F.col("goal_source")))
+                             "shard int, source string, cell long, words long")
               .select(F.col("shard").alias("q_shard"), F.col("source").alias("q_source"),
-                      "blocks", "quota", "source_size", "target"))
+                      "cell", "words"))
     line = (Window.partitionBy("shard", "source").orderBy("order", "id", "size")
             .rowsBetween(Window.unboundedPreceding, -1))
-    placed = (rows.withColumn("shard", shard)
+    placed = (rows.join(goals, of_source).withColumn("shard", shard)
               .withColumn("start", F.coalesce(F.sum("size").over(line), F.lit(0))))
-    last = (F.col("quota") % F.col("blocks")) * block - F.col("start")
+    last = F.expr("words % cell") - F.col("start")
     return (placed.join(quotas, (F.col("shard") == F.col("q_shard"))
                         & F.col("source").eqNullSafe(F.col("q_source")))
             .select("row", "size", "source_size", "target",
-                    F.when(F.col("size") > 0, F.expr("quota DIV blocks")).otherwise(0)
+                    F.when(F.col("size") > 0, F.expr("words DIV cell")).otherwise(0)
                     .cast("long").alias("passes"),
                     F.when(F.col("size") > 0, F.greatest(F.lit(0), F.least(F.col("size"), last)))
                     .otherwise(0).cast("long").alias("cut")))

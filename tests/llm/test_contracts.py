@@ -188,6 +188,20 @@ def test_several_shards_stay_near_the_targets(spark, sf, given):
         assert abs(r["sum(taken)"] - r.target) < 0.1 * r.target + 200
 
 
+@pytest.mark.parametrize("weights", [(1, 2), (1, 100)])
+def test_a_source_of_short_rows_reaches_its_target_over_many_shards(spark, weights):
+    docs = spark.createDataFrame(
+        [(i, "one two three four five", "a") for i in range(2000)]
+        + [(i, "word " * 200, "b") for i in range(2000, 4000)],
+        "doc_id long, text string, source string")
+    mixed = mixing.mix(docs, weights=weights, shard_words=200)
+    sums = mixed.selectExpr("row.source AS s", "target", "passes * size + cut AS taken").groupBy(
+        "s", "target").sum("taken").collect()
+    assert len(sums) == 2
+    for r in sums:
+        assert abs(r["sum(taken)"] - r.target) < 0.01 * r.target + mixing.BLOCK
+
+
 # --- 2 pseudonyms
 
 
