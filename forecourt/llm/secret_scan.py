@@ -2,9 +2,10 @@
 
 The field tags every token as begin, inside or outside of a secret from its shape,
 its neighbouring words and facts about the file, and is decoded by Viterbi. It
-learns from the pattern matches in a bounded sample of documents, with features
-that see shapes rather than the patterns themselves, and adds the spans that look
-alike; matches of the patterns always stay.
+learns from the pattern matches, which are looked for in all documents and then
+bounded, and from a bounded sample of other documents, with features that see
+shapes rather than the patterns themselves, and adds the spans that look alike;
+matches of the patterns always stay.
 
 A token's score depends on the token, its two neighbours and the file, so each
 distinct word is looked at once and long texts are scored by table. The best tag
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.shared import WORD
+from forecourt.llm.shared import WORD, stored
 
 # The base patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -34,6 +35,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # a run of hexadecimal digits shorter than 24 fails, so only longer ones are looked for
 HEX = re.compile(r"[0-9a-f]{24,}")
+# the same three at their least lengths, for Spark: whether a text has a match
+ANY = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
+       r"""[A-Za-z0-9+/_.=-]{6}|AKIA[A-Z0-9]{16}|[0-9a-f]{24}""")
 KINDS = ("assign", "access", "hex", "field")
 LEAST_VALUE, LEAST_ACCESS = 6, 20
 _WORD = re.compile(WORD)
@@ -96,7 +100,7 @@ _DIGITS = re.compile("[0-9]")
 
 def shape(word: str) -> str:
     """Runs of lower, upper, digit and other characters, as a, A, d and the others themselves."""
-    return _RUN.sub(r"\1+", word[:200].translate(_outline))
+    return _RUN.sub(r"\1+", word.translate(_outline))
 
 
 def is_plain(word: str) -> bool:
@@ -114,7 +118,7 @@ def word_features(word: str, outline: str) -> list[str]:
     inner = outline if value == word else shape(value)
     return ["1", f"len{min(len(value), 40) // 4}", f"shape{inner[:12]}",
             f"runs{min(len(inner), 24) // 2}", f"dig{round(4 * digits / len(value))}",
-            f"vow{round(5 * vowels / len(value))}", f"ent{round(2 * _entropy(value[:200]))}",
+            f"vow{round(5 * vowels / len(value))}", f"ent{round(2 * _entropy(value))}",
             f"mix{digits > 0}{value.isalnum()}{value.lower() == value}{value.upper() == value}",
             f"sign{'=' in bare}{':' in bare}{word != bare}", f"of{bare[:-len(value)].lower()[:16]}"]
 
@@ -389,18 +393,26 @@ class Scanner:
 
 def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE,
           windows: int = WINDOWS) -> Field:
-    """A field from at most ``windows`` windows of at most ``sample`` documents.
+    """A field from at most ``windows`` windows, half of them with a secret in it.
 
-    The documents are those with the least hashes of their id; both bounds are
-    on what the field is fitted to only.
+    The documents are at most ``sample`` of all those with a pattern match and at
+    most ``sample`` of all, with the least hashes of their id; the bounds are on
+    what the field is fitted to only. Documents without an id are not learned from.
     """
-    ids = (docs.select(F.col(doc_id).alias("s_id")).where(F.col("s_id").isNotNull()).distinct()
-           .orderBy(F.xxhash64("s_id"), "s_id").limit(sample))
-    found = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-             .join(F.broadcast(ids), F.col("doc_id") == F.col("s_id")).select("text")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(
+        F.col("doc_id").isNotNull())
+
+    def least(some: DataFrame) -> DataFrame:
+        return (some.select(F.col("doc_id").alias("s_id")).distinct()
+                .orderBy(F.xxhash64("s_id"), "s_id").limit(sample))
+
+    ids = least(rows.where(F.col("text").rlike(ANY))).union(least(rows)).distinct()
+    found = (rows.join(F.broadcast(ids), F.col("doc_id") == F.col("s_id")).select("text")
              .mapInArrow(_windows, "features array<array<int>>, tags array<int>"))
-    rows = (found.orderBy(F.xxhash64("features"), F.to_json("features")).limit(windows).collect())
-    return Field().fit([(r["features"], r["tags"]) for r in rows])
+    found = stored(found.withColumn("secret", F.exists("tags", lambda t: t != O)), "windows")
+    fit = [r for kind in (True, False) for r in found.where(F.col("secret") == kind).orderBy(
+        F.xxhash64("features"), F.to_json("features")).limit(windows // 2).collect()]
+    return Field().fit([(r["features"], r["tags"]) for r in fit])
 
 
 # The last scanner of this process, so that tasks of one job share the words seen.

@@ -586,6 +586,37 @@ def test_the_field_learns_shapes_from_enough_secrets(spark, given):
     assert not base and not clean and len(added) == 1
 
 
+def test_the_field_learns_from_all_documents_with_secrets(spark, given):
+    rows = []
+    for i in range(6000):
+        some = words(given[i % len(given)][1])[:30]
+        value = hashlib.md5(str(i).encode()).hexdigest()[:18]
+        kept = [f"password={value}"] if i % 100 == 0 else []
+        rows.append((i, " ".join([*some[:15], *kept, *some[15:]])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scanner = secret_scan.Scanner(secret_scan.train(docs, sample=600))
+    (base, added), (_, clean) = scanner.scan(
+        ["here passphrase=9f8e7d6c5b4a3c2d1e goes on", "a plain text without any of that"])
+    assert not base and not clean and len(added) == 1
+
+
+def test_texts_with_a_match_are_those_with_base_spans(spark, given, odd_rows):
+    texts = [t or "" for _, t, *_ in [*given, *odd_rows]] + [
+        "Token='abcde", "Token='abcdef", "api-key=abcdef", "API_KEY\" :  \"a/b=c.", "token==abcde",
+        "AKIA" + "A" * 15, "xAKIA" + "7" * 16, "akia" + "A" * 16, "0a" * 11 + "f", "z" + "0a" * 12,
+        "to\u212aen=abcdef", "secret=\nabcdef"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    found = {r.i for r in frame.where(frame.text.rlike(secret_scan.ANY)).collect()}
+    assert found == {i for i, t in enumerate(texts) if secret_scan.base_spans(t)}
+
+
+def test_features_see_the_whole_value():
+    start = "a" * 200
+    long, plain_ = start + "B7" * 9, start + "c" * 18
+    assert secret_scan.shape(long) != secret_scan.shape(plain_)
+    assert secret_scan.word_features(f"x={long}", "") != secret_scan.word_features(f"x={plain_}", "")
+
+
 # --- 8 packing
 
 
