@@ -21,16 +21,23 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september",
+          "october", "november", "december")
+_MONTH = "(?i:" + "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in MONTHS) + ")"
+
 # The formats that are looked for. The order decides where two begin
 # at the same place.
 FORMATS = {
     "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "phone": r"(?<![\d+])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[2-9][0-9]{2}[.-])[0-9]{3}[.-][0-9]{4}(?!\d)",
+    "phone": r"(?<![\d+])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[2-9][0-9]{2}[ .-])[0-9]{3}[ .-][0-9]{4}(?!\d)"
+             r"|(?<![\d+])\+[1-9](?:[ .()-]{0,2}[0-9]){6,14}(?!\d)",
     "ssn": r"(?<![\d-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![\d-])",
-    "date": r"(?<![\d/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}"
-            r"|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?!\d|[/.-]\d)",
+    "date": r"(?<![\d/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
+            r"|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?!\d|[/.-]\d)"
+            rf"|(?<![\w/.-])(?:[0-9]{{1,2}} {_MONTH}|{_MONTH} [0-9]{{1,2}}),? [0-9]{{4}}(?!\d)",
     "ip": r"(?<![\d.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?\d)",
-    "card": r"(?<![\d-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4})(?!\d|-\d)",
+    "card": r"(?<![\d-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}"
+            r"|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?!\d|-\d)",
 }
 KINDS = tuple(FORMATS)
 PATTERN = "|".join(f"(?:{p})" for p in FORMATS.values())
@@ -38,6 +45,8 @@ PATTERN = "|".join(f"(?:{p})" for p in FORMATS.values())
 # Dates of these days are permuted among themselves: 314 * 350 days from 1800 on.
 FIRST_DAY = "1800-01-01"
 DAYS = (314, 350)
+# Two-digit country codes; 1 and 7 have one digit and all others three.
+CODES = ("2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]")
 
 
 def _hash(key: str, kind: str, step: Column, value: Column) -> Column:
@@ -113,10 +122,21 @@ def card(text: Column, key: str) -> Column:
 
 
 def phone(text: Column, key: str) -> Column:
-    """Ten digits are permuted, a country code stays.
+    """The digits after a country code are permuted, the code stays.
 
-    Area and exchange that begin with 2 to 9 go to such, any other pair to any other.
+    Of ten digits without a code or after +1, area and exchange that begin with 2 to
+    9 go to such, any other pair to any other.
     """
+    def abroad(d: Column) -> Column:
+        code = F.when(d.rlike("^[17]"), 1).when(d.rlike(f"^(?:{CODES})"), 2).otherwise(3)
+        size = F.length(d) - code
+        half = (size / 2).cast("int")
+        power = lambda n: F.pow(F.lit(10), n).cast("long")
+        pair = permuted(F.substring(d, code + 1, half), F.substring(d, code + half + 1, size - half),
+                        power(half), power(size - half), key, "phone abroad")
+        return let(pair, lambda p: _refilled(text, F.concat(
+            F.substring(d, F.lit(1), code), _padded(p["l"], half), _padded(p["r"], size - half))))
+
     def inner(d: Column) -> Column:
         ten = F.substring(d, -10, 10)
         area, exchange = F.substring(ten, 1, 3).cast("int"), F.substring(ten, 4, 3).cast("int")
@@ -141,7 +161,9 @@ def phone(text: Column, key: str) -> Column:
 
         return let(pair, back)
 
-    return let(_digits(text), inner)
+    return let(_digits(text), lambda d: F.when(
+        text.startswith("+") & ~((F.length(d) == 11) & d.startswith("1")), abroad(d))
+        .otherwise(inner(d)))
 
 
 def ssn(text: Column, key: str) -> Column:
@@ -184,9 +206,44 @@ def _as_day(text: Column) -> Column:
     return day.try_cast("date")
 
 
-def valid_date(text: Column) -> Column:
+def _plain_date(text: Column) -> Column:
+    """Whether all numbers are padded and the order is that of ``_as_day``."""
     since = F.datediff(_as_day(text), F.lit(FIRST_DAY).cast("date"))
-    return F.coalesce((since >= 0) & (since < DAYS[0] * DAYS[1]), F.lit(False))
+    return text.rlike("^(?:.{4}-.*|[0-9]{2}([/.])[0-9]{2}\\1[0-9]{4})$") & F.coalesce(
+        (since >= 0) & (since < DAYS[0] * DAYS[1]), F.lit(False))
+
+
+def _other_date(text: Column) -> Column:
+    """Year, month and day of the other notations, and what days their notation can name.
+
+    ``months`` are those that can stand there: 1 to 9 for one digit, all but May for
+    whole names, as a short name is May too. ``low`` is 13 where a day comes first
+    that can be no month, and ``wide`` says whether the day has two digits.
+    """
+    named, slash = text.rlike("[A-Za-z]"), text.contains("/")
+    one = F.regexp_extract(text, "^([0-9A-Za-z]+)", 1)
+    two = F.regexp_extract(text, "^[0-9A-Za-z]+[/. ]([0-9A-Za-z]+)", 1)
+    first = F.when(slash, one.try_cast("int") > 12).otherwise(text.rlike("^[0-9]"))
+    day, month = F.when(first, one).otherwise(two), F.when(first, two).otherwise(one)
+    short = F.array(*[F.lit(m[:3]) for m in MONTHS])
+    some = lambda numbers: F.array(*[F.lit(n) for n in numbers])
+    return F.struct(
+        F.substring(text, -4, 4).try_cast("int").alias("y"),
+        F.when(named, F.array_position(short, F.lower(F.substring(month, 1, 3))).cast("int"))
+        .otherwise(month.try_cast("int")).alias("m"),
+        day.try_cast("int").alias("d"), first.alias("first"), month.alias("month"),
+        (F.length(day) == 2).alias("wide"), F.when(slash & first, 13).otherwise(1).alias("low"),
+        F.when(named & (F.length(month) > 3), some([1, 2, 3, 4, 6, 7, 8, 9, 10, 11, 12]))
+        .when(~named & (F.length(month) == 1), some(range(1, 10)))
+        .otherwise(some(range(1, 13))).alias("months"))
+
+
+def valid_date(text: Column) -> Column:
+    other = let(_other_date(text), lambda o: o["y"].between(1800, 2099)
+                & o["month"].rlike("^(?:[0-9]+|[A-Z]?[a-z]+|[A-Z]+)$")
+                & F.concat_ws("-", o["y"].cast("string"), _padded(o["m"], 2), _padded(o["d"], 2))
+                .try_cast("date").isNotNull())
+    return _plain_date(text) | (~text.rlike("^.{4}-") & F.coalesce(other, F.lit(False)))
 
 
 def date(text: Column, key: str) -> Column:
@@ -201,6 +258,42 @@ def date(text: Column, key: str) -> Column:
             F.substring(text, 3, 1) == "/", F.date_format(day, "MM/dd/yyyy")).otherwise(
             F.date_format(day, "dd.MM.yyyy"))
 
+    return F.when(_plain_date(text), let(pair, back)).otherwise(
+        let(_other_date(text), lambda o: _moved_date(text, o, key)))
+
+
+def _moved_date(text: Column, o: Column, key: str) -> Column:
+    """Days up to 28, 29 and 30, 31, and leap days are permuted among themselves."""
+    leap, end, late = (o["m"] == 2) & (o["d"] == 29), o["d"] == 31, o["d"] > 28
+    months = F.when(leap, F.array(F.lit(2))).when(
+        end, F.filter(o["months"], lambda m: m.isin(1, 3, 5, 7, 8, 10, 12))).when(
+        late, F.filter(o["months"], lambda m: m != 2)).otherwise(o["months"])
+    low = F.when(end, 31).when(late, 29).otherwise(o["low"])
+    days = F.when(end | leap, 1).when(late, 2).otherwise(
+        F.when(o["wide"], 29 - o["low"]).otherwise(9))
+    # leap years from 1804 to 2096 without 1900
+    four = ((o["y"] - 1804) / 4).cast("int")
+    year = F.when(leap, four - F.when(four > 24, 1).otherwise(0)).otherwise(o["y"] - 1800)
+    pair = permuted(year, (F.array_position(months, o["m"]) - 1) * days + o["d"] - low,
+                    F.when(leap, 73).otherwise(300), F.size(months) * days, key, "day")
+
+    def back(p: Column) -> Column:
+        four = p["l"] + F.when(p["l"] >= 24, 1).otherwise(0)
+        y = F.when(leap, 1804 + 4 * four).otherwise(p["l"] + 1800).cast("string")
+        m = F.get(months, (p["r"] / days).cast("int"))
+        d = (p["r"] % days + low).cast("string")
+        d = F.when(o["wide"], F.lpad(d, 2, "0")).otherwise(d)
+        name = F.get(F.array(*[F.lit(n) for n in MONTHS]), m - 1)
+        name = F.when(F.length(o["month"]) == 3, F.substring(name, 1, 3)).otherwise(name)
+        name = F.when(o["month"].rlike("^[A-Z]{2}"), F.upper(name)).when(
+            o["month"].rlike("^[A-Z]"), F.initcap(name)).otherwise(name)
+        number = F.lpad(m.cast("string"), F.length(o["month"]), F.lit("0"))
+        month = F.when(o["month"].rlike("^[0-9]"), number).otherwise(name)
+        two = F.regexp_extract(text, "^[0-9A-Za-z]+([/. ])[0-9A-Za-z]+", 1)
+        rest = F.regexp_extract(text, "^[0-9A-Za-z]+[/. ][0-9A-Za-z]+([/., ]+)", 1)
+        return F.concat(F.when(o["first"], d).otherwise(month), two,
+                        F.when(o["first"], month).otherwise(d), rest, y)
+
     return let(pair, back)
 
 

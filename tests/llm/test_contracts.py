@@ -258,6 +258,44 @@ def test_no_python_in_native_plans(spark, sf, none):
     assert pseudonyms.without_private_data(none, "k").columns == none.columns
 
 
+def test_forms_of_other_countries_are_replaced(spark):
+    forms = {"date": ["25/12/1990", "5/7/2024", "5/17/2024", "25/7/2024", "5.7.2024", "31/12/1999",
+                      "29/02/2000", "5 July 2024", "July 15, 2024", "31 DEC 1999", "may 5 2024"],
+             "phone": ["555 123 4567", "(555) 123 4567", "+44 20 7946 0958", "+49 (0)30 123456",
+                       "+33142685300", "+1 123 456 7890"],
+             "card": ["3782 822463 10005", "3782-822463-10005"]}
+    texts = [(kind, t) for kind, ts in forms.items() for t in ts]
+    stay = ["30/02/2021", "13/13/2021", "0/5/2024", "31 June 2024", "29 February 1900",
+            "jULY 5 2024", "+123456", "3782 822463 10006", "4046 5872 4160 4631"]
+    found = safe(spark.createDataFrame(
+        [(i, f"on {t} it") for i, t in enumerate([t for _, t in texts] + stay)],
+        "doc_id long, text string"))
+    for i, (kind, t) in enumerate(texts):
+        new, kinds = found[i]
+        assert kinds == [kind] and new != f"on {t} it", t
+        assert re.sub("[A-Za-z]+", "a", re.sub("[0-9]", "0", new)) == re.sub(
+            "[A-Za-z]+", "a", re.sub("[0-9]", "0", f"on {t} it"))
+        assert kind != "card" or luhn(re.sub("[^0-9]", "", new))
+    for i, t in enumerate(stay, len(texts)):
+        assert found[i] == (f"on {t} it", []), t
+
+
+def test_other_notations_are_permutations(spark):
+    names = [m.capitalize() for m in pseudonyms.MONTHS]
+    made = set()
+    for i in range(0, 100_000, 61):
+        y, m, d = map(int, str(np.datetime64("1810-01-01") + i).split("-"))
+        made |= {f"{m}/{d}/{y}", f"{d}.{m}.{y}", f"{d:02}/{m}/{y}", f"{d} {names[m - 1]} {y}",
+                 f"{names[m - 1][:3]} {d}, {y}", f"+44 {m:02} {d:04} {y}"}
+    made |= {f"{y}-02-29"[8:] + f"/02/{y}" for y in range(1804, 2097, 4) if y != 1900}
+    found = safe(spark.createDataFrame(list(enumerate(sorted(made))), "doc_id long, text string"))
+    assert all(len(kinds) == 1 for _, kinds in found.values())
+    assert len({t for t, _ in found.values()}) == len(made)
+    again = safe(spark.createDataFrame(
+        [(i, t) for i, (t, _) in found.items()], "doc_id long, text string"))
+    assert all(again[i][1] == found[i][1] for i in found)
+
+
 # --- 3 token counts
 
 
