@@ -16,9 +16,12 @@ from forecourt.llm import (
     mixing,
     near_dedup,
     packing,
+    prefix_trie,
     pseudonyms,
     quality,
     secret_scan,
+    sentence_pieces,
+    spelling,
     token_counts,
 )
 from forecourt.llm.shared import text_or_empty
@@ -101,11 +104,32 @@ def op10_hidden_markov_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(documents(spark, sf_dir))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.damaged_words(documents(spark, sf_dir).select("doc_id", "text"))
+    return spelling.spelling_variants(words)
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path(PIECE_VOCABULARY), "rb") as file:
+        model = sentence_pieces.PieceModel(file.read())
+    texts = sentence_pieces.decode(
+        sentence_pieces.encode(documents(spark, sf_dir), model), model)
+    return texts.select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mix_sources, op2_feistel_pseudonyms, op3_word_piece_counts, op4_exact_dedup,
         op5_bottom_k_near_dedup, op6_quality_rules, op7_secret_field, op8_pack_mixture,
-        op9_string_kernel_language, op10_hidden_markov_score)}
+        op9_string_kernel_language, op10_hidden_markov_score, op11_spelling_variants,
+        op12_sentence_pieces, op13_prefix_trie)}
 
 ORACLES: dict[str, str] = {}
 
