@@ -72,3 +72,8 @@ def month_label(date: Column) -> Column:
 def zone_timestamp(zone: str) -> Column:
     """Time of the run as a wall clock in ``zone``, for the audit stamp."""
     return F.convert_timezone(None, F.lit(zone), F.current_timestamp().cast("timestamp_ntz"))
+
+
+def within_days(date: Column, before: Column, days: int) -> Column:
+    """True for dates of less than ``days`` before a day, and for later ones."""
+    return F.datediff(before, date) < days

@@ -34,6 +34,12 @@ def yes_no(flag: Column, yes: str = "X") -> Column:
     return F.when(flag == yes, "Y").otherwise("N")
 
 
+def plain_header_text(name: Column) -> Column:
+    """``plain_header`` of a column of names."""
+    last = F.element_at(F.split(F.regexp_replace(name, "\ufeff", ""), r"\."), -1)
+    return F.lower(F.regexp_replace(F.trim(F.regexp_replace(last, r"\s+", " ")), " ", "_"))
+
+
 def plain_header(name: str) -> str:
     """Tidy column name: table prefix and line breaks dropped, words joined by ``_``."""
     words = name.replace("﻿", "").split(".")[-1].split()

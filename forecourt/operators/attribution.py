@@ -5,15 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.fixed_values import DELIVERY_KPI_TYPES, SELLING_SOURCES
 from forecourt.functions.text import code_label
 from forecourt.operators.change import exclude_keys
-from forecourt.operators.ranking import (first_and_last, keep_first, keep_latest,
-                                         sequence_numbers)
-from forecourt.operators.skew import deal, hot_keys, join_dealt, lookup_join
+from forecourt.operators.ranking import first_and_last, keep_first, sequence_numbers
+from forecourt.operators.skew import lookup_join
+from forecourt.session import materialize
 
 # An event is the same event when these agree, whatever file it came in.
 EVENT_KEYS = ("vin", "outdate", "daysinservice", "outmile")
@@ -82,11 +82,56 @@ def event_sequence(events: DataFrame, vehicle: str, order: Sequence[str], slices
     return sequence_numbers(events.distinct(), [vehicle], order, slices, number, reverse)
 
 
-def _first_owner_event(both: DataFrame) -> DataFrame:
-    """Per vehicle, its earliest event after the first dealer's record."""
+def reduced_events(events: DataFrame) -> DataFrame:
+    """One row per event with its latest and its first copy, from one aggregation.
+
+    ``latest`` has the greatest file date, a null one last, ``first_seen`` the least, a
+    null one first; ties go to the least of the other columns in name order.
+    """
+    rest = sorted(c for c in EVENT_COLUMNS if c not in EVENT_KEYS and c != "todaydate")
+    # ascending like the ties, so that one minimum decides; no day is that late
+    back = F.coalesce(-F.unix_date("todaydate"), F.lit(2 ** 31 - 1)).alias("back")
+    return events.groupBy(*EVENT_KEYS).agg(
+        F.min(F.struct(back, *rest, "todaydate")).alias("latest"),
+        F.min(F.struct("todaydate", *rest)).alias("first_seen"))
+
+
+def _copy(name: str) -> Column:
+    return F.struct(*[F.col(f"{name}.{c}").alias(c) for c in EVENT_COLUMNS if c not in EVENT_KEYS])
+
+
+def attributed(events: DataFrame, owners: DataFrame, as_of: dt.date, history: bool = True,
+               today: bool = True, hot: DataFrame | None = None) -> DataFrame:
+    """``event_history`` and ``new_events`` of a day in one pass.
+
+    No event is in both: one first seen on the day has no earlier copy, and its latest
+    is not before the day. ``hot`` names vehicles whose rows are to be dealt
+    (``hot_keys``). Events with their owners are written to the shared folder once.
+    """
+    day = F.lit(as_of)
+    old = (F.col("latest.todaydate") < day) if history else F.lit(False)
+    new = (F.col("first_seen.todaydate") == day) if today else F.lit(False)
+    copies = reduced_events(events).select(
+        *EVENT_KEYS, F.coalesce(old, F.lit(False)).alias("old"),
+        F.when(old, _copy("latest")).when(new, _copy("first_seen")).alias("copy"))
+    copies = copies.where(F.col("copy").isNotNull()).select(*EVENT_KEYS, "old", "copy.*")
+    # read twice below; Spark would make it twice, as the two uses filter it differently
+    both = materialize(lookup_join(copies, ends(owners, payload=OWNER_COLUMNS),
+                                   {"vin": "veh_id_nbr"}, hot=hot), "attributed")
     rest = [c for c in EVENT_COLUMNS if c not in ("vin", "todaydate")]
-    return both.where("outdate > first.orig_proc_dt").groupBy("vin").agg(
+    # a vehicle's earliest old event after the first dealer's record
+    opening = both.where("old AND outdate > first.orig_proc_dt").groupBy("vin").agg(
         F.min(F.struct("todaydate", *rest, "first")).alias("__event"))
+    rows = lookup_join(both, opening, ["vin"], "left", hot=hot)
+    is_opening = F.expr("old AND __event IS NOT NULL AND outdate <=> __event.outdate AND "
+                        "daysinservice <=> __event.daysinservice AND outmile <=> __event.outmile")
+    repeats = F.expr("old AND __event IS NOT NULL AND todaydate <=> __event.todaydate AND "
+                     "(outdate <=> __event.outdate "
+                     "OR last.biz_assoc_id <=> __event.first.biz_assoc_id)")
+    owner = F.when(is_opening, F.col("first")).when(
+        F.expr("outdate > last.orig_proc_dt") & ~repeats, F.col("last"))
+    return published(rows.withColumn("__owner", owner).where("__owner IS NOT NULL")
+                     .select(*EVENT_COLUMNS, "__owner.*"))
 
 
 def event_history(events: DataFrame, owners: DataFrame, as_of: dt.date) -> DataFrame:
@@ -97,23 +142,7 @@ def event_history(events: DataFrame, owners: DataFrame, as_of: dt.date) -> DataF
     dealer, except those on the first event's file date that repeat its dealer
     or its out date. ``owners`` is one row per vehicle and dealer.
     """
-    latest = keep_latest(events.select(*EVENT_COLUMNS), EVENT_KEYS, ["todaydate"]).where(
-        F.col("todaydate") < F.lit(as_of))
-    # counted on the raw events: cheaper than on the de-duplicated ones, and
-    # every key that is hot afterwards is hot here
-    hot = hot_keys(events, ["vin"])
-    both = join_dealt(deal(latest, ["vin"], hot), ends(owners, payload=OWNER_COLUMNS),
-                      {"vin": "veh_id_nbr"}, "inner", hot)
-    opening = _first_owner_event(both)
-    later = join_dealt(both.where("outdate > last.orig_proc_dt"), opening, ["vin"], "left", hot)
-    repeats = ("todaydate <=> __event.todaydate AND (outdate <=> __event.outdate "
-               "OR last.biz_assoc_id <=> __event.first.biz_assoc_id)")
-
-    first_rows = opening.select("vin", "__event.*").select(*EVENT_COLUMNS, "first.*")
-    last_rows = later.where(f"__event IS NULL OR NOT ({repeats})").select(
-        *EVENT_COLUMNS, "last.*")
-    # no rows repeat: an event occurs once, and the rule above keeps the sides apart
-    return published(first_rows.unionByName(last_rows))
+    return attributed(events, owners, as_of, today=False)
 
 
 def new_events(events: DataFrame, owners: DataFrame, as_of: dt.date) -> DataFrame:
@@ -127,8 +156,7 @@ def new_events(events: DataFrame, owners: DataFrame, as_of: dt.date) -> DataFram
         keep_first(seen.where(F.col("todaydate") == day), EVENT_KEYS, ["todaydate"]),
         seen.where((F.col("todaydate") < day) | F.col("todaydate").isNull()), EVENT_KEYS)
     last = ends(owners, payload=OWNER_COLUMNS).select("veh_id_nbr", "last.*")
-    hot = hot_keys(events.where(F.col("todaydate") == F.lit(as_of)), ["vin"])
-    joined = lookup_join(today, last, {"vin": "veh_id_nbr"}, hot=hot)
+    joined = lookup_join(today, last, {"vin": "veh_id_nbr"})
     return published(joined.where("outdate > orig_proc_dt"))
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -39,3 +39,23 @@ def objective_sheets(sheets: Mapping[str, DataFrame], process_date: dt.date,
     stacked = reduce(DataFrame.unionByName, [stack(n, s) for n, s in sheets.items()])
     return (stacked.dropna(subset=["bac"])
             .withColumn("process_date", F.lit(process_date)))
+
+
+def hierarchy_reconcile(levels: Mapping[str, DataFrame], keys: Sequence[str], value: str
+                        ) -> DataFrame:
+    """Where the sum of a level differs from that of the next one below.
+
+    ``levels`` holds the feeds from the top down. A key that a level lacks counts 0
+    there. All levels are summed in one aggregation that combines on the map side.
+    """
+    names = list(levels)
+    amount = [f"__{i}" for i in range(len(names))]
+    stacked = reduce(DataFrame.unionByName, [
+        levels[n].select(*keys, *[(F.col(value) if a == amount[i] else F.lit(0)).cast("long")
+                                  .alias(a) for a in amount]) for i, n in enumerate(names)])
+    sums = stacked.groupBy(*keys).agg(*[F.sum(a).alias(a) for a in amount])
+    pairs = F.array(*[
+        F.struct(F.lit(names[i]).alias("upper_level"), F.lit(names[i + 1]).alias("lower_level"),
+                 F.col(amount[i]).alias("upper_cnt"), F.col(amount[i + 1]).alias("lower_cnt"))
+        for i in range(len(names) - 1)])
+    return sums.select(*keys, F.inline(pairs)).where("upper_cnt <> lower_cnt")

@@ -9,13 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.functions.dates import loads_on
-from forecourt.operators.load import append_if_new, overwrite
+from forecourt.operators.load import append_if_new, overwrite, verify_write
 from forecourt.operators.objectives import objective_sheets
 from forecourt.sources import feeds
-from forecourt.sources.delimited import FILE_COLUMN, convert_columns
-from forecourt.sources.fixed_width import parse_fixed_width
+from forecourt.sources.delimited import (FAULTS_COLUMN, FILE_COLUMN, convert_columns,
+                                         with_faults)
+from forecourt.sources.file_dates import with_header_date
+from forecourt.sources.fixed_width import parse_fixed_width, rejected_lines
 from forecourt.sources.layouts import LAYOUTS
-from forecourt.streaming.ingest import ingest_new_files, stream_delimited, stream_text
+from forecourt.streaming.ingest import (ingest_batches, ingest_new_files, stream_delimited,
+                                        stream_lines)
 
 
 def stage_model_snapshots(spark: SparkSession, path, out: str, as_of: dt.date) -> int:
@@ -37,14 +40,29 @@ def stage_retired_events(spark: SparkSession, path, out: str) -> int:
 
 
 def stage_new_retired_events(spark: SparkSession, folder: str, out: str, checkpoint: str,
-                             glob: str = "*"):
-    """Append the event files that arrived since the last run."""
+                             glob: str = "*", rejects: str | None = None,
+                             archive: str | None = None):
+    """Append the event files that arrived since the last run.
+
+    Without ``rejects`` what does not fit is null. With it, lines at fault go to that
+    table instead, and both tables are read with ``read_batches``. ``archive`` is where
+    loaded files move.
+    """
     def parse(landed: DataFrame) -> DataFrame:
-        return convert_columns(landed.drop(FILE_COLUMN), feeds.RETIRED_EVENTS, ("", "N/A"),
-                               ("MM/dd/yyyy",))
+        return convert_columns(landed, feeds.RETIRED_EVENTS, feeds.EVENT_NULLS,
+                               feeds.EVENT_DATES)
 
-    stream = stream_delimited(spark, folder, feeds.RETIRED_EVENTS, "|", glob)
-    return ingest_new_files(stream, parse, out, checkpoint)
+    def split(landed: DataFrame) -> dict[str, DataFrame]:
+        checked = with_faults(landed, feeds.RETIRED_EVENTS, "|", feeds.EVENTS_TRAILING,
+                              feeds.EVENT_NULLS, feeds.EVENT_DATES)
+        fits = F.size(FAULTS_COLUMN) == 0
+        return {out: parse(checked.where(fits)), rejects: checked.where(~fits)}
+
+    stream = stream_delimited(spark, folder, feeds.RETIRED_EVENTS, "|", glob, archive,
+                              line=rejects is not None, trailing=feeds.EVENTS_TRAILING)
+    if rejects is None:
+        return ingest_new_files(stream, parse, out, checkpoint)
+    return ingest_batches(stream, split, checkpoint)
 
 
 def stage_objectives(spark: SparkSession, path, out: str, feed_type: str) -> int:
@@ -53,18 +71,37 @@ def stage_objectives(spark: SparkSession, path, out: str, feed_type: str) -> int
 
 
 def stage_new_objectives(spark: SparkSession, folder: str, out: str, checkpoint: str,
-                         feed_type: str, glob: str = "*"):
-    """Append the objective files of one type that arrived since the last run."""
-    def parse(lines: DataFrame) -> DataFrame:
-        return parse_fixed_width(lines, LAYOUTS[feed_type])
+                         feed_type: str, glob: str = "*", rejects: str | None = None,
+                         archive: str | None = None):
+    """Append the objective files of one type that arrived since the last run, each with
+    the date of its header record as ``file_date``. Read with ``read_batches``.
+
+    With ``rejects`` lines at fault go to that table instead of becoming nulls.
+    """
+    layout = LAYOUTS[feed_type]
+
+    def split(lines: DataFrame) -> dict[str, DataFrame]:
+        # a file is never dealt over batches, so its header is among its lines
+        dated = with_header_date(lines)
+        if rejects is None:
+            return {out: parse_fixed_width(dated, layout, keep=["file_date"])}
+        bad = rejected_lines(dated, layout)
+        good = rejected_lines(dated, layout, fitting=True)
+        return {out: parse_fixed_width(good, layout, keep=["file_date"]), rejects: bad}
 
-    return ingest_new_files(stream_text(spark, folder, glob=glob), parse, out, checkpoint)
+    return ingest_batches(stream_lines(spark, folder, glob, archive), split, checkpoint)
 
 
 def stage_reference_feed(read: Callable[[SparkSession, str], DataFrame], spark: SparkSession,
                          path, out: str) -> int:
-    """Replace the staging table of a small feed (messages, outlook, org forecast)."""
-    return overwrite(read(spark, path), out)
+    """Replace the staging table of a small feed (messages, outlook, org forecast) and
+    check that it holds what was written."""
+    return verify_write(spark, out, overwrite(read(spark, path), out))
+
+
+def stage_new_industry_outlook(spark: SparkSession, path, out: str) -> int:
+    """Append outlook rows of months that are not staged yet."""
+    return append_if_new(feeds.read_industry_outlook(spark, path), out, ["eff_mnth_dt"], "key")
 
 
 def objective_stage_rows(sheets: dict[str, DataFrame], process_date: dt.date, job_id: str,

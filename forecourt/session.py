@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,7 +25,7 @@ def shared_dir(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
     if context.applicationId not in _own:
         _own[context.applicationId] = tempfile.TemporaryDirectory(
@@ -37,13 +38,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Write a frame to the shared folder and continue from the written table.
 
     For a frame that several branches of a job start from: it is computed once,
-    and a lost executor costs a re-read, not the work before it. The folder is
-    the cluster's to clear, like any checkpoint.
+    and a lost executor costs a re-read, not the work before it. ``by`` names columns
+    to write folders by. The table goes when the application ends.
     """
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    df.write.partitionBy(*by).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -10,9 +10,9 @@ from pyspark.sql.types import (DateType, DecimalType, IntegerType, LongType, Str
 from forecourt.fixed_values import MONTHS
 from forecourt.functions.dates import excel_serial_date, parse_date
 from forecourt.functions.text import null_if, percent_parse
-from forecourt.sources.delimited import (FILE_COLUMN, convert, land_delimited, read_delimited,
-                                         read_headed)
-from forecourt.sources.file_dates import report_dates, with_file_date
+from forecourt.sources.delimited import (FILE_COLUMN, convert, land_delimited, read_by_header,
+                                         read_delimited)
+from forecourt.sources.file_dates import FILE_DATE, report_dates, with_file_date
 from forecourt.sources.fixed_width import parse_fixed_width, read_text_feed
 from forecourt.sources.layouts import LAYOUTS
 
@@ -66,52 +66,64 @@ OBJECTIVE_SHEET = columns(
     ("zero_dealer_adjusted", TEXT), ("mor_adjusted", TEXT), ("be_dealer", TEXT))
 
 
-def read_model_snapshots(spark: SparkSession, path, undated: bool = False) -> DataFrame:
+# a separator and a blank end the lines of snapshots, a flag those of some event files
+SNAPSHOT_TRAILING = EVENTS_TRAILING = 1
+EVENT_NULLS, EVENT_DATES = ("", "N/A"), ("MM/dd/yyyy",)
+
+
+def read_model_snapshots(spark: SparkSession, path, undated: bool = False,
+                         pattern: str = FILE_DATE) -> DataFrame:
     """Daily ``~`` files, dated by their name, with report and sales-through date.
 
+    ``pattern`` finds the date in a file's path.
     ``undated`` gives the rows of files whose name has no date instead, with the file.
     """
-    feed = with_file_date(read_delimited(spark, path, MODEL_SNAPSHOT, sep="~", with_file=True))
+    feed = with_file_date(read_delimited(spark, path, MODEL_SNAPSHOT, sep="~", with_file=True),
+                          pattern)
     if undated:
         return feed.where(F.col("file_date").isNull()).drop("file_date")
     return report_dates(feed.dropna(subset=["file_date"])).drop(FILE_COLUMN, "file_date")
 
 
-def read_retired_events(spark: SparkSession, path) -> DataFrame:
-    """Pipe files of retired-out vehicles; an eighth column is dropped."""
-    return read_delimited(spark, path, RETIRED_EVENTS, sep="|", null_tokens=("", "N/A"),
-                          date_formats=("MM/dd/yyyy",))
+def read_retired_events(spark: SparkSession, path, rejects: bool = False):
+    """Pipe files of retired-out vehicles; an eighth column is dropped.
+
+    ``rejects`` as in ``read_delimited``.
+    """
+    return read_delimited(spark, path, RETIRED_EVENTS, sep="|", null_tokens=EVENT_NULLS,
+                          date_formats=EVENT_DATES, rejects=rejects, trailing=EVENTS_TRAILING)
 
 
-def read_system_messages(spark: SparkSession, path) -> DataFrame:
-    """System messages; dates come as ``yyyy-MM-dd`` or ``M/d/yyyy``."""
-    return read_delimited(spark, path, SYSTEM_MESSAGES, header=True,
-                          date_formats=("yyyy-MM-dd", "M/d/yyyy"))
+def read_system_messages(spark: SparkSession, path, rejects: bool = False):
+    """System messages, columns by each file's header; dates come as ``yyyy-MM-dd`` or
+    ``M/d/yyyy``."""
+    return read_by_header(spark, path, SYSTEM_MESSAGES, null_tokens=("",),
+                          date_formats=("yyyy-MM-dd", "M/d/yyyy"), rejects=rejects)
 
 
 def read_industry_outlook(spark: SparkSession, path) -> DataFrame:
-    """Industry outlook; the month comes as a spreadsheet serial day or a date.
+    """Industry outlook, columns by each file's header; the month comes as a spreadsheet
+    serial day or a date.
 
     Full copies and rows without a month are dropped.
     """
-    landed = land_delimited(spark, path, INDUSTRY_OUTLOOK, header=True)
-    text = {f.name: null_if(F.col(f.name)) for f in INDUSTRY_OUTLOOK.fields}
     formats = ("M/d/yyyy", "yyyy-MM-dd")
-    values = {f.name: convert(text[f.name], f.dataType, formats) for f in INDUSTRY_OUTLOOK.fields}
-    values["eff_mnth_dt"] = F.coalesce(excel_serial_date(text["eff_mnth_dt"]),
-                                       parse_date(text["eff_mnth_dt"], *formats))
-    return (landed.select(*[v.alias(n) for n, v in values.items()])
-            .distinct().dropna(subset=["eff_mnth_dt"]))
+    month = null_if(F.col("eff_mnth_dt"))
+    month = F.coalesce(excel_serial_date(month), parse_date(month, *formats))
+    feed = read_by_header(spark, path, INDUSTRY_OUTLOOK, null_tokens=("",), date_formats=formats,
+                          readers={"eff_mnth_dt": month})
+    return feed.distinct().dropna(subset=["eff_mnth_dt"])
 
 
 def read_org_forecast(spark: SparkSession, path) -> DataFrame:
     """Org forecast with ``table.column`` headers and ``NULL`` marks."""
-    return read_headed(spark, path, ORG_FORECAST, date_formats=("M/d/yyyy",))
+    return read_by_header(spark, path, ORG_FORECAST, date_formats=("M/d/yyyy",))
 
 
 def read_selling_date_track(spark: SparkSession, path) -> DataFrame:
     """Selling-date track; percentages become fractions."""
-    feed = read_headed(spark, path, SELLING_DATE_TRACK, sep="|", date_formats=("yyyy/MM/dd",))
+    feed = read_by_header(spark, path, SELLING_DATE_TRACK, sep="|",
+                          date_formats=("yyyy/MM/dd",))
     return feed.withColumns({c: percent_parse(F.col(c))
                              for c in ("track_percentage", "prior_year_percentage")})
 
@@ -133,17 +145,13 @@ def read_objectives(spark: SparkSession, path, feed_type: str) -> DataFrame:
 def read_objective_sheet(spark: SparkSession, path, prefix: str) -> DataFrame:
     """One sheet of the objective workbook, exported as CSV.
 
-    Headers hold line breaks and start with the sheet's prefix (``SB``, ``DF``);
-    only the first sixteen columns count. They are taken by position, since
-    the wording of the headers varies.
+    Headers hold line breaks and some start with the sheet's prefix (``SB``, ``DF``).
+    Columns are taken by the names in each file's header, less that prefix, so exports
+    may order them differently; other columns are dropped.
     """
     raw = (spark.read.option("header", True).option("multiLine", True)
            .option("inferSchema", False).csv(path))
-    names = OBJECTIVE_SHEET.fieldNames()
-    first = raw.columns[:len(names)]
-    marked = [c for c in first if c.upper().startswith(prefix.upper())]
-    if len(first) < len(names) or not marked:
+    if not any(c.upper().startswith(prefix.upper()) for c in raw.columns):
         raise ValueError(f"not a {prefix} objective sheet: {path}")
-    landed = raw.select(*[F.col(f"`{c}`") for c in first]).toDF(*names)
-    return landed.select(*[convert(null_if(F.col(f.name)), f.dataType).alias(f.name)
-                           for f in OBJECTIVE_SHEET.fields])
+    return read_by_header(spark, path, OBJECTIVE_SHEET, null_tokens=("",), multi_line=True,
+                          prefix=prefix)

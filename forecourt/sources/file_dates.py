@@ -11,7 +11,11 @@ from forecourt.sources.delimited import FILE_COLUMN
 from forecourt.sources.fixed_width import HEADER_PREFIX, is_header
 
 
-def with_file_date(df: DataFrame, pattern: str = r"(\d{8})[^/]*$", fmt: str = "yyyyMMdd",
+# eight digits in the file name
+FILE_DATE = r"(\d{8})[^/]*$"
+
+
+def with_file_date(df: DataFrame, pattern: str = FILE_DATE, fmt: str = "yyyyMMdd",
                    path_col: str = FILE_COLUMN, name: str = "file_date") -> DataFrame:
     """Add the date found in the file name (first group of ``pattern``)."""
     return df.withColumn(name, parse_date(F.regexp_extract(path_col, pattern, 1), fmt))

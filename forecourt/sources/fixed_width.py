@@ -71,11 +71,15 @@ def parse_fixed_width(df: DataFrame, layout: FixedWidthLayout, col: str = "value
     return df.select(*[f.value(line).alias(f.name) for f in layout.fields], *keep)
 
 
-def rejected_lines(df: DataFrame, layout: FixedWidthLayout, col: str = "value") -> DataFrame:
-    """Lines that are too short or hold a field that does not fit its type."""
+def rejected_lines(df: DataFrame, layout: FixedWidthLayout, col: str = "value",
+                   fitting: bool = False) -> DataFrame:
+    """Lines that are too short or hold a field that does not fit its type, with their
+    faults; ``fitting`` gives the others."""
     line = F.col(col)
     faults = [F.when(f.text(line).isNotNull() & f.value(line).isNull(), F.lit(f.name))
               for f in layout.fields]
     short = F.when(F.length(line) < layout.width, F.lit("line too short"))
-    return (df.withColumn("rejected_columns", F.array_compact(F.array(short, *faults)))
-            .where(F.size("rejected_columns") > 0))
+    checked = df.withColumn("rejected_columns", F.array_compact(F.array(short, *faults)))
+    if fitting:
+        return checked.where(F.size("rejected_columns") == 0).drop("rejected_columns")
+    return checked.where(F.size("rejected_columns") > 0)

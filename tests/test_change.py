@@ -11,7 +11,7 @@ from forecourt.operators.audit import conform, conform_positional, with_audit
 from forecourt.operators.change import change_feed, exclude_keys, latest_slice
 from forecourt.operators.enrich import apply_overrides, enrich_left
 from forecourt.operators.load import (append_if_new, new_files, overwrite, overwrite_table,
-                                      rows_to_append, shift_file_date, verify_write)
+                                      rows_to_append, shift_file_date, stored_rows, verify_write)
 from forecourt.operators.objectives import objective_sheets
 from forecourt.operators.reconcile import reconcile_counts, reconcile_sets, same_rows
 
@@ -149,7 +149,10 @@ def test_overwrite_and_verify(frame, tmp_path, spark):
     path = str(tmp_path / "t")
     df = frame([(1, "a"), (2, "b")], "k int, v string")
     assert overwrite(df, path) == 2 and overwrite(df, path, ["v"]) == 2
-    assert verify_write(df, path) and not verify_write(df.where("k = 1"), path)
+    assert verify_write(spark, path, 2) == 2
+    with pytest.raises(ValueError, match="holds 2 rows, 1 were written"):
+        verify_write(spark, path, 1)
+    assert stored_rows(spark, str(tmp_path / "none")) == 0
     assert overwrite_table(df, "sink_check", str(tmp_path / "ext")) == 2
     assert overwrite_table(df.where("k = 1"), "sink_check", str(tmp_path / "ext")) == 1
     assert rows(spark.read.table("sink_check")) == [(1, "a")]

@@ -8,6 +8,8 @@ import __spark_entry__ as entries
 import oracle
 from conftest import plan_of
 
+# on the smallest tables nothing may be left of these
+MAY_BE_EMPTY: set[str] = set()
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -27,8 +29,8 @@ def test_query_equals_sql(spark, con, name):
     plan = plan_of(df)
     for node in ("CartesianProduct", "NestedLoopJoin", "Python", "MapInPandas", "ArrowEval"):
         assert node not in plan
-    found = [d for d in oracle.differences(df, con, entries.ORACLES[name]) if d != "no rows"]
-    assert not found
+    found = oracle.differences(df, con, entries.ORACLES[name])
+    assert not [d for d in found if d != "no rows" or name not in MAY_BE_EMPTY]
 
 
 def test_entry_has_rows_and_the_published_columns(spark):

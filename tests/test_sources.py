@@ -17,6 +17,7 @@ from forecourt.sources.file_dates import with_header_date
 from forecourt.sources.fixed_width import (land_text, parse_fixed_width, read_text_feed,
                                            rejected_lines)
 from forecourt.sources.layouts import LAYOUTS
+from forecourt.streaming.ingest import read_batches
 from workload.feeds import render
 
 D = dt.date
@@ -95,12 +96,14 @@ def test_bad_values_are_null_or_rejected(spark, tmp_path):
     assert rows(plain) == [(1, None, None), (2, D(2023, 2, 28), 7), (3, None, None)]
     good, bad = read_delimited(spark, path, schema, "|", date_formats=("MM/dd/yyyy",),
                                rejects=True)
-    assert rows(good.select("k")) == [(2,), (3,)]
-    assert [(r["k"], r["rejected_columns"]) for r in bad.collect()] == [("1", ["d", "n"])]
+    assert rows(good.select("k")) == [(2,)]
+    assert [(r["k"], r["rejected_columns"]) for r in bad.collect()] == [
+        ("1", ["d", "n"]), ("3", ["too few fields"])]
 
 
 def test_industry_outlook_takes_serial_days(spark, tmp_path):
-    path = put(tmp_path, "o.csv", "﻿NTL_CD,VEH,EFF,QTY,RATE,USR,UPD\n"
+    path = put(tmp_path, "o.csv", "\ufeffNTL_CD,VEH_TYPE_GRP_CD,EFF_MNTH_DT,INDY_OUTLK_QTY,"
+               "INDY_SEASNLY_ADJ_ANNL_NBR,LAST_UPDT_USR_ID,LAST_UPDT_DT\n"
                "US,1,45017,1001,3,Someone ,2/7/2024\n"
                "US,1,45017,1001,3,Someone ,2/7/2024\n"
                "US,2,11/1/2023,5,12.3,Someone,2/7/2024\nUS,3,,5,1,Someone,2/7/2024\n")
@@ -111,7 +114,8 @@ def test_industry_outlook_takes_serial_days(spark, tmp_path):
 
 
 def test_system_messages_in_both_date_formats(spark, tmp_path):
-    head = "NTL_CD,SYS_CD,SYS_DESC,SYS_MSG_SA_ID,MSG_TXT,EFCTV_DT,EXPRTN_DT,TYPE,USR,UPD\n"
+    head = ("NTL_CD,SYS_CD,SYS_DESC,SYS_MSG_SA_ID,MSG_TXT,EFCTV_DT,"
+            "EXPRTN_DT,MESSAGE_TYPE,LAST_UPDT_USR_ID,LAST_UPDT_DT\n")
     path = put(tmp_path, "m.csv", head + 'US,S,d,1,"a, b",5/3/2023,2023-12-31,T,u,12/1/2023\n')
     got = feeds.read_system_messages(spark, path)
     assert rows(got) == [("US", "S", "d", 1, "a, b", D(2023, 5, 3), D(2023, 12, 31), "T", "u",
@@ -222,6 +226,21 @@ def test_parse_undoes_render(spark, name, data):
     assert rejected_lines(lines, layout).isEmpty()
 
 
+@pytest.mark.parametrize(("name", "line", "want"), [
+    ("BAC", "0000011582312QX105022024000123499", (115823, 12, "QX1", D(2024, 5, 2), 1234)),
+    ("ZON", "000000000070021041213QX1050220240000056", ("07", "21", "0412", 13, "QX1",
+                                                        D(2024, 5, 2), 56)),
+    ("ARE", "0000000000700210412003313QX1050220240000056",
+     ("07", "21", "0412", "0033", 13, "QX1", D(2024, 5, 2), 56)),
+    ("SEC", "00000000034002111QX3050220240000815", ("34", "21", 11, "QX3", D(2024, 5, 2), 815)),
+    ("GMM", "000000000AB00CD0001000200030004000500060007000899",
+     ("AB", "CD", "0001", "0002", "0003", "0004", "0005", "0006", "0007", "0008"))])
+def test_literal_lines(spark, name, line, want):
+    """Lines written out by hand, so that a wrong start position shows."""
+    got = parse_fixed_width(spark.createDataFrame([(line,)], "value string"), LAYOUTS[name])
+    assert tuple(got.first()) == want
+
+
 def test_undocumented_layout_is_ten_texts(spark):
     line = "".join(chr(65 + i % 26) for i in range(48))
     got = parse_fixed_width(spark.createDataFrame([(line,)], "value string"), LAYOUTS["GMM"])
@@ -234,7 +253,7 @@ def test_objective_staging(spark, tmp_path):
     assert staging.stage_objectives(spark, path, str(tmp_path / "his"), "NAT") == 1
     for _ in range(2):
         staging.stage_new_objectives(spark, folder, out, state, "NAT", "FEED_NAT_*").awaitTermination()
-    assert rows(spark.read.parquet(out)) == [(11, "QX1", D(2024, 5, 2), 1234)]
+    assert rows(read_batches(spark, out)) == [(11, "QX1", D(2024, 5, 2), 1234, D(2024, 5, 2))]
 
 
 def test_expressions(frame):

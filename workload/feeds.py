@@ -118,36 +118,74 @@ def fixed_width_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_fixed_width(read_text_feed(spark, write_lines(lines, "line")), LINE_LAYOUT)
 
 
-FEED_TYPES = ("BAC", "REG", "ZON", "ARE", "NAT", "SEC")
+FEED_TYPES = ("BAC", "REG", "ZON", "ARE", "NAT", "SEC", "GMM")
 
 
 @query("""
 WITH lines AS (
-    SELECT CASE o_orderstatus WHEN 'F' THEN 11 WHEN 'O' THEN 12 ELSE 13 END AS sell_src_cd,
+    SELECT o_custkey, lpad(CAST(o_custkey % 90 AS VARCHAR), 2, '0') AS region_cd,
+           lpad(CAST(o_custkey % 77 AS VARCHAR), 2, '0') AS sec_cd,
+           lpad(CAST(o_custkey % 1013 AS VARCHAR), 4, '0') AS zone_cd,
+           lpad(CAST(o_custkey % 911 AS VARCHAR), 4, '0') AS area_cd,
+           CASE o_orderstatus WHEN 'F' THEN 11 WHEN 'O' THEN 12 ELSE 13 END AS sell_src_cd,
            substr(o_orderpriority, 3, 3) AS brand_cd, CAST(o_orderdate AS DATE) AS rpt_dt,
            CAST(floor(o_totalprice / 100) AS BIGINT) AS obj_cnt
-    FROM orders)
-SELECT feed, CAST(sell_src_cd AS BIGINT) AS sell_src_cd, brand_cd, rpt_dt,
+    FROM orders),
+feeds(feed) AS (VALUES ('BAC'), ('REG'), ('ZON'), ('ARE'), ('NAT'), ('SEC')),
+coded AS (
+    SELECT feed, CASE WHEN feed = 'BAC' THEN CAST(o_custkey % 999983 AS VARCHAR) ELSE '' END AS biz_cd,
+           CASE WHEN feed IN ('REG', 'ZON', 'ARE', 'SEC') THEN region_cd ELSE '' END AS region_cd,
+           CASE WHEN feed IN ('ZON', 'ARE', 'SEC') THEN sec_cd ELSE '' END AS sec_cd,
+           CASE WHEN feed IN ('ZON', 'ARE') THEN zone_cd ELSE '' END AS zone_cd,
+           CASE WHEN feed = 'ARE' THEN area_cd ELSE '' END AS area_cd,
+           CAST(sell_src_cd AS VARCHAR) AS sell_src_cd, brand_cd, CAST(rpt_dt AS VARCHAR) AS rpt_dt,
+           obj_cnt
+    FROM lines CROSS JOIN feeds
+    UNION ALL
+    SELECT 'GMM', zone_cd, region_cd, sec_cd, area_cd, zone_cd, region_cd || sec_cd, area_cd,
+           zone_cd || ' ' || area_cd, CAST(sec_cd || region_cd AS BIGINT)
+    FROM lines)
+SELECT feed, biz_cd, region_cd, sec_cd, zone_cd, area_cd, sell_src_cd, brand_cd, rpt_dt,
        count(*) AS line_cnt, CAST(sum(obj_cnt) AS BIGINT) AS obj_cnt
-FROM lines CROSS JOIN (VALUES ('BAC'), ('REG'), ('ZON'), ('ARE'), ('NAT'), ('SEC')) AS t(feed)
-GROUP BY ALL""")
+FROM coded GROUP BY ALL""")
 def fixed_width_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every field of every layout; the codes differ from order to order."""
+    def code(divisor, width):
+        return F.lpad((F.col("o_custkey") % divisor).cast("string"), width, "0")
+
     src = orders(spark, sf_dir)
-    code = (F.when(F.col("o_orderstatus") == "F", 11).when(F.col("o_orderstatus") == "O", 12)
-            .otherwise(13))
+    region, sec, zone, area = code(90, 2), code(77, 2), code(1013, 4), code(911, 4)
     values = {
-        "biz_assoc_id": F.lit(115823), "region_cd": F.lit("07"), "sec_cd": F.lit("21"),
-        "zone_cd": F.lit("0412"), "area_cd": F.lit("0033"), "sell_src_cd": code,
+        "biz_assoc_id": F.col("o_custkey") % 999983, "region_cd": region, "sec_cd": sec,
+        "zone_cd": zone, "area_cd": area,
+        "sell_src_cd": F.when(F.col("o_orderstatus") == "F", 11)
+        .when(F.col("o_orderstatus") == "O", 12).otherwise(13),
         "brand_cd": F.substring("o_orderpriority", 3, 3), "rpt_dt": F.col("order_dt"),
         "obj_cnt": F.floor(F.col("o_totalprice") / 100)}
+    ten = [region, sec, area, zone, F.concat(region, sec), area, zone, area, F.concat(sec, region),
+           zone]
+    values |= {f"col{i}": v for i, v in enumerate(ten, 1)}
+    names = ("biz_cd", "region_cd", "sec_cd", "zone_cd", "area_cd", "sell_src_cd", "brand_cd",
+             "rpt_dt")
+    own = {"biz_cd": "biz_assoc_id"}
     # the layout differs per type, so each type is a feed (and a scan) of its own
-    parsed = [parse_fixed_width(src.select(render(LAYOUTS[t], values).alias("value")), LAYOUTS[t])
-              .select(F.lit(t).alias("feed"), "sell_src_cd", "brand_cd", "rpt_dt", "obj_cnt")
-              for t in FEED_TYPES]
-    stacked = parsed[0]
-    for one in parsed[1:]:
-        stacked = stacked.unionByName(one)
-    return stacked.groupBy("feed", "sell_src_cd", "brand_cd", "rpt_dt").agg(
+    stacked = None
+    for kind in FEED_TYPES:
+        lines = src.select(render(LAYOUTS[kind], values).alias("value"))
+        got = parse_fixed_width(lines, LAYOUTS[kind])
+        if kind == "GMM":
+            got = got.select(
+                F.col("col10").alias("biz_cd"), F.col("col1").alias("region_cd"),
+                F.col("col2").alias("sec_cd"), F.col("col3").alias("zone_cd"),
+                F.col("col4").alias("area_cd"), F.col("col5").alias("sell_src_cd"),
+                F.col("col6").alias("brand_cd"),
+                F.concat_ws(" ", "col7", "col8").alias("rpt_dt"),
+                F.col("col9").cast("long").alias("obj_cnt"))
+        one = got.select(F.lit(kind).alias("feed"), *[
+            F.col(own.get(n, n)).cast("string").alias(n) if own.get(n, n) in got.columns
+            else F.lit("").alias(n) for n in names], F.col("obj_cnt").cast("long"))
+        stacked = one if stacked is None else stacked.unionByName(one)
+    return stacked.groupBy("feed", *names).agg(
         F.count("*").alias("line_cnt"), F.sum("obj_cnt").alias("obj_cnt"))
 
 

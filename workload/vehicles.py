@@ -156,7 +156,7 @@ def hist_inc_union_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hist_inc_union(rows.where(cut), rows.where(~cut).select("order_dt", "o_orderkey"))
 
 
-PUBLISH_AS_OF = dt.date(2001, 7, 1)
+PUBLISH_AS_OF = dt.date(2001, 8, 2)
 PUBLISH_SINCE = dt.date(1995, 1, 1)
 
 
