@@ -167,7 +167,6 @@ def fixed_width_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     values |= {f"col{i}": v for i, v in enumerate(ten, 1)}
     names = ("biz_cd", "region_cd", "sec_cd", "zone_cd", "area_cd", "sell_src_cd", "brand_cd",
              "rpt_dt")
-    own = {"biz_cd": "biz_assoc_id"}
     # the layout differs per type, so each type is a feed (and a scan) of its own
     stacked = None
     for kind in FEED_TYPES:
@@ -181,9 +180,10 @@ def fixed_width_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("col6").alias("brand_cd"),
                 F.concat_ws(" ", "col7", "col8").alias("rpt_dt"),
                 F.col("col9").cast("long").alias("obj_cnt"))
+        got = got.withColumnsRenamed({"biz_assoc_id": "biz_cd"})
         one = got.select(F.lit(kind).alias("feed"), *[
-            F.col(own.get(n, n)).cast("string").alias(n) if own.get(n, n) in got.columns
-            else F.lit("").alias(n) for n in names], F.col("obj_cnt").cast("long"))
+            F.col(n).cast("string").alias(n) if n in got.columns else F.lit("").alias(n)
+            for n in names], F.col("obj_cnt").cast("long"))
         stacked = one if stacked is None else stacked.unionByName(one)
     return stacked.groupBy("feed", *names).agg(
         F.count("*").alias("line_cnt"), F.sum("obj_cnt").alias("obj_cnt"))
