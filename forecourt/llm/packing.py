@@ -31,7 +31,6 @@ from forecourt.llm.shared import few_rows, stored
 WINDOW = 2048
 END = 1
 MOST_SOURCES = 100_000
-KNOWN_WORDS = 400_000
 # Fraction bits of a quantum; positions stay exact below 10**14 tokens.
 BITS = 16
 
@@ -49,12 +48,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 
 
 class TextTokens:
-    """Ids of texts by a byte-level vocabulary file, as little-endian 32-bit bytes.
-
-    A word after a single space is split off the same way wherever it stands, so
-    its ids are looked up after their first time, in a bounded table. A text in
-    which a space touches other white space is encoded whole.
-    """
+    """Ids of texts by a byte-level vocabulary file, as little-endian 32-bit bytes."""
 
     def __init__(self, vocabulary: str):
         self.tokenizer = Tokenizer.from_str(vocabulary)
@@ -65,28 +59,13 @@ class TextTokens:
                  if word not in self.special}
         self.encode = tiktoken.Encoding("vocabulary", pat_str=SPLIT, mergeable_ranks=ranks,
                                         special_tokens={}).encode_ordinary
-        self.known: dict[str, bytes | None] = {}
-
-    def _learn(self, word: str) -> bytes | None:
-        if len(self.known) >= KNOWN_WORDS:
-            self.known.clear()
-        if not word or word != word.strip():
-            ids = None  # depends on its neighbours
-        else:
-            ids = np.array(self.encode(" " + word), dtype="<u4").tobytes()
-        self.known[word] = ids
-        return ids
 
     def ids(self, text: str) -> bytes:
         if any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
-                            dtype="<u4").tobytes()
-        first, *rest = text.split(" ")
-        known, learn = self.known, self._learn
-        found = [known[w] if w in known else learn(w) for w in rest]
-        if None in found or first != first.strip() or (rest and not first):
-            return np.array(self.encode(text), dtype="<u4").tobytes()
-        return np.array(self.encode(first), dtype="<u4").tobytes() + b"".join(found)
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.encode(text)
+        return np.array(ids, dtype="<u4").tobytes()
 
 
 TOKENS = "block int, at long, doc_id {id}, source string, start_in_block long, tokens long, ids binary"
@@ -125,6 +104,11 @@ def token_table(docs: DataFrame, vocabulary: str, text: str = "text", doc_id: st
     return stored(rows.mapInArrow(_tokenized(vocabulary, end), TOKENS.format(id=kind)), "tokens")
 
 
+# Cells of a table of rounds by sources, and tokens, that are cut at a time.
+CELLS = 1 << 18
+CHUNK = 1 << 18
+
+
 class Rounds:
     """Where the rounds of each queue lie in the stream of all rounds."""
 
@@ -132,14 +116,32 @@ class Rounds:
         self.sizes = np.array(sizes, dtype=np.int64)
         self.quanta = np.array(quanta, dtype=np.int64)
 
-    def given(self, n: np.ndarray, queue: int | None = None) -> np.ndarray:
-        """Tokens that queues have given before round n."""
-        if queue is None:
-            return np.minimum(self.sizes, (n[:, None] * self.quanta) >> BITS)
+    def given(self, n: np.ndarray, queue: int) -> np.ndarray:
+        """Tokens that a queue has given before round n."""
         return np.minimum(self.sizes[queue], (n * self.quanta[queue]) >> BITS)
 
-    def pieces(self, queue: int, start: int, tokens: int, window: int):
-        """Cut tokens [start, start + tokens) of a queue: starts in the queue, lengths, places."""
+    def begins(self, n: np.ndarray, queue: int) -> np.ndarray:
+        """Places in the stream at which a queue's part of round n begins.
+
+        All queues' tokens before the round, and those of the earlier queues in it; the
+        table of rounds by sources is made in parts of ``CELLS``, however many there are.
+        """
+        out = np.empty(len(n), dtype=np.int64)
+        step = max(1, CELLS // max(1, len(self.sizes)))
+        for low in range(0, len(n), step):
+            some = n[low:low + step, None]
+            here = np.minimum(self.sizes, (some * self.quanta) >> BITS)
+            place = here[:, queue:].sum(axis=1)
+            if queue:
+                some = some + 1
+                place += np.minimum(self.sizes[:queue],
+                                    (some * self.quanta[:queue]) >> BITS).sum(axis=1)
+            out[low:low + step] = place
+        return out
+
+    def cut(self, queue: int, start: int, tokens: int, window: int):
+        """Cut tokens [start, start + tokens) of a queue at rounds and windows: where in
+        the queue each part starts, and its place in the stream."""
         quantum = int(self.quanta[queue])
         # the round of token i is the last n with floor(n * quantum) <= i
         if quantum >> BITS:
@@ -147,23 +149,30 @@ class Rounds:
                           ((start + tokens << BITS) - 1) // quantum + 1, dtype=np.int64)
         else:  # a round gives a token at most
             n = ((np.arange(start + 1, start + tokens + 1, dtype=np.int64) << BITS) - 1) // quantum
-        begin = np.maximum(self.given(n, queue), start)
+        before = self.given(n, queue)
+        begin = np.maximum(before, start)
         end = np.minimum(self.given(n + 1, queue), start + tokens)
-        here, there = self.given(n), self.given(n + 1)
-        ahead = (there[:, :queue] - here[:, :queue]).sum(axis=1)
-        place = here.sum(axis=1) + ahead + begin - here[:, queue]
+        place = self.begins(n, queue) + begin - before
         # cut where a window ends; a queue's share of a round may lie in two
         parts = (place + (end - begin) - 1) // window - place // window + 1
         which = np.repeat(np.arange(len(n)), parts)
         step = np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)
-        edge = (place[which] // window + step) * window
-        low = np.maximum(place[which], edge)
-        high = np.minimum((place + end - begin)[which], edge + window)
-        return begin[which] + low - place[which], high - low, low
-
-
-# Tokens that are cut at a time; a longer document is cut there as well.
-CHUNK = 1 << 16
+        low = np.maximum(place[which], (place[which] // window + step) * window)
+        return begin[which] + low - place[which], low
+
+    def pieces(self, queue: int, starts: np.ndarray, ends: np.ndarray, window: int):
+        """Pieces of documents that follow each other in a queue: which one, from where on
+        in the queue, how many tokens, at which place."""
+        found = []
+        for low in range(int(starts[0]), int(ends[-1]), CHUNK):
+            high = min(low + CHUNK, int(ends[-1]))
+            begin, place = self.cut(queue, low, high - low, window)
+            inside = starts[np.searchsorted(starts, low):np.searchsorted(starts, high)]
+            at = np.union1d(begin, inside)
+            part = np.searchsorted(begin, at, side="right") - 1
+            found.append((np.searchsorted(starts, at, side="right") - 1, at,
+                          np.diff(at, append=high), place[part] + at - begin[part]))
+        return [np.concatenate(c) for c in zip(*found, strict=True)]
 
 
 def _cut(names: list, sizes: list[int], quanta: list[int], window: int):
@@ -172,27 +181,27 @@ def _cut(names: list, sizes: list[int], quanta: list[int], window: int):
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                rows, starts, lengths, places, crcs, total = [], [], [], [], [], []
-                for row, (source, start, tokens, ids) in enumerate(zip(
-                        *[part.column(c).to_pylist() for c in ("source", "start", "tokens", "ids")],
-                        strict=True)):
-                    view = memoryview(ids)
-                    for at in range(0, tokens, CHUNK):
-                        a, n, place = rounds.pieces(number[source], start + at,
-                                                    min(CHUNK, tokens - at), window)
-                        a -= start
-                        rows += [row] * len(a)
-                        total += [tokens] * len(a)
-                        starts.append(a)
-                        lengths.append(n)
-                        places.append(place)
-                        crcs += [zlib.crc32(view[4 * i:4 * (i + k)])
-                                 for i, k in zip(a.tolist(), n.tolist(), strict=True)]
-                place = np.concatenate(places)
+                start = part.column("start").to_numpy(zero_copy_only=False)
+                tokens = part.column("tokens").to_numpy(zero_copy_only=False)
+                texts = [memoryview(i.as_buffer()) for i in part.column("ids")]
+                # runs of a source's documents that follow each other in its queue
+                queue = np.array([number[s] for s in part.column("source").to_pylist()])
+                order = np.lexsort((start, queue))
+                apart = (np.diff(queue[order]) != 0) | (
+                    (start + tokens)[order][:-1] != start[order][1:])
+                found = []
+                for run_ in np.split(order, np.flatnonzero(apart) + 1):
+                    which, *rest = rounds.pieces(int(queue[run_[0]]), start[run_],
+                                                 (start + tokens)[run_], window)
+                    found.append((run_[which], *rest))
+                rows, at, length, place = (np.concatenate(c) for c in zip(*found, strict=True))
+                at = at - start[rows]
+                crcs = [zlib.crc32(texts[r][4 * a:4 * (a + k)])
+                        for r, a, k in zip(rows.tolist(), at.tolist(), length.tolist(),
+                                           strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(rows)),
-                     pa.array(np.concatenate(starts)), pa.array(np.concatenate(lengths)),
-                     pa.array(crcs, pa.int64()), pa.array(total, pa.int64()),
+                    [part.column("doc_id").take(pa.array(rows)), pa.array(at), pa.array(length),
+                     pa.array(crcs, pa.int64()), pa.array(tokens[rows]),
                      pa.array(place // window), pa.array(place % window)],
                     ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
                      "offset"])

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -709,6 +710,47 @@ def test_packing_of_odd_rows(odd, odd_rows, none):
     assert sum(p.length for p in all_ if p.start == 0) > 0
 
 
+def test_cuts_follow_the_rounds(monkeypatch):
+    """Places of all tokens against a round robin played token by token, in small steps."""
+    random = np.random.default_rng(3)
+    for chunk, cells in ((1 << 18, 1 << 18), (50, 10)):
+        monkeypatch.setattr(packing, "CHUNK", chunk)
+        monkeypatch.setattr(packing, "CELLS", cells)
+        for sizes in ([700, 3, 40], [1], [5] * 30, [1000, 1], random.integers(1, 90, 12).tolist()):
+            quanta = [max(1, -(-64 * n * (1 << packing.BITS) // sum(sizes))) for n in sizes]
+            stream, given, n = [], [0] * len(sizes), 0
+            while len(stream) < sum(sizes):
+                n += 1
+                for q, size in enumerate(sizes):
+                    to = min(size, n * quanta[q] >> packing.BITS)
+                    stream += [(q, i) for i in range(given[q], to)]
+                    given[q] = to
+            place = {token: i for i, token in enumerate(stream)}
+            rounds = packing.Rounds(sizes, quanta)
+            for q, size in enumerate(sizes):
+                edges = np.unique([0, size // 3, size // 2, size])
+                pieces = rounds.pieces(q, edges[:-1], edges[1:], 64)
+                seen = 0
+                for doc, at, length, where in zip(*(c.tolist() for c in pieces), strict=True):
+                    assert at == seen and length > 0 and edges[doc] <= at < edges[doc + 1]
+                    assert at + length <= edges[doc + 1] and where // 64 == (where + length - 1) // 64
+                    assert [place[q, at + i] for i in range(length)] == list(
+                        range(where, where + length))
+                    seen += length
+                assert seen == size
+
+
+def test_cuts_of_many_sources_need_little_memory():
+    sizes = [100_000] * 5000
+    quanta = [-(-2048 * n * (1 << packing.BITS) // sum(sizes)) for n in sizes]
+    rounds = packing.Rounds(sizes, quanta)
+    tracemalloc.start()
+    pieces = rounds.pieces(2500, np.array([0, 70]), np.array([70, 4000]), 2048)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pieces[2].sum() == 4000 and peak < 32 << 20
+
+
 def test_words_are_encoded_like_whole_texts(odd_rows, given):
     text = queries.vocabulary_text(queries.BYTE_VOCABULARY)
     mine, theirs = packing.TextTokens(text), Tokenizer.from_str(text)
