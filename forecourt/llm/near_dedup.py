@@ -17,8 +17,13 @@
    linking means d_y > r * (n_y + n_p); and d_x >= |n_x - n_p|; so common > 0.) They
    meet in inverted lists of their differences, which are short where texts are
    near, again of the rarest ones that have to hold a common one.
-5. What is left are members of a list that lie in different components and that
-   were not both compared with its pivot: all pairs of these.
+5. A list is open if its members lie in different components and some were not compared
+   with its pivot, being too unlike it. Its members of similar size get a further pivot,
+   one of those, and all of them are compared with it on the full sets, a row per
+   member. Those mostly within the pivot go through step 4 again. Of the others, what
+   they have beyond the pivot tells: with e_y such extras, a link means that they share
+   at least e_y - r * (n_x + n_y) of them, so they meet in inverted lists of the rarest
+   r * (n_x + n_y) + 1 ones. No pairs of a list are made, however long it is.
 6. Of each pair the sketch of the union estimates the similarity, and what can
    reach the bound is confirmed on the full sets.
 
@@ -80,10 +85,11 @@ def _sketches(size: int, k: int):
                 part = batch.slice(low, 512)
                 sets = [shingle_set(t, size) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                    [part.column("doc_id"), part.column("mark"),
+                     pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                      pa.array([s[:k] for s in sets], pa.list_(pa.int64()))],
-                    ["doc_id", "n", "digest", "sketch"])
+                    ["doc_id", "mark", "n", "digest", "sketch"])
 
     return run
 
@@ -152,8 +158,8 @@ class _Search:
         self.docs, self.size, self.percent, self.k, self.bits = docs, size, percent, k, bits
         kind = docs.schema["doc_id"].dataType.simpleString()
         self.rows = stored(docs.mapInArrow(
-            _sketches(size, k), f"doc_id {kind}, n long, digest binary, sketch array<long>"),
-            "sketches")
+            _sketches(size, k),
+            f"doc_id {kind}, mark binary, n long, digest binary, sketch array<long>"), "sketches")
         # copies are combined before they move
         self.classes = stored(
             self.rows.where("n > 0").groupBy("digest")
@@ -229,8 +235,78 @@ class _Search:
             & (F.col("lx") | (F.col("is_short") & (F.col("x") < F.col("y"))))
             & enough
         ).select("a", "x", "y").distinct()
-        sides = [near.select(F.col("a").alias(f"{c}a"), F.col("b").alias(f"{c}b"),
-                             F.col("n_b").alias(f"n{c}"), F.col("delta").alias(f"delta{c}"))
+        return self.confirmed(pairs, near)
+
+    def open_pairs(self, near: DataFrame, hung: DataFrame) -> DataFrame:
+        """Pairs (a: a further pivot, b, n_a, n_b, fresh) for the members of open lists, by
+        size: two classes of sizes a list, so that members of similar size share one."""
+        known = hung.select(F.col("a").alias("k"), F.col("b").alias("r"))
+        done = near.select(F.col("a").alias("da"), F.col("b").alias("db"))
+        placed = (self.lists.join(known, F.col("cls") == F.col("k"), "left")
+                  .withColumn("root", F.coalesce("r", "cls")))
+        placed = (placed.join(done, (F.col("p") == F.col("da")) & (F.col("cls") == F.col("db")),
+                              "left")
+                  .withColumn("fresh", F.col("db").isNull() & (F.col("cls") != F.col("p"))))
+        size = F.floor(F.log("n") / F.log(F.lit(100 / self.percent)))
+        sized = stored(placed.select(
+            "value", "cls", "n", "root", "fresh",
+            F.explode(F.array(size, size + 1)).alias("size")), "sized")
+        open_ = (sized.groupBy("value", "size").agg(
+            F.min("root").alias("lo"), F.max("root").alias("hi"),
+            F.max(F.when(F.col("fresh"), F.struct("n", "cls"))).alias("top"))
+            .where("lo < hi AND top IS NOT NULL")
+            .select(F.col("value").alias("v"), F.col("size").alias("s"),
+                    F.col("top.cls").alias("a"), F.col("top.n").alias("n_a")))
+        return (sized.join(open_, (F.col("value") == F.col("v")) & (F.col("size") == F.col("s")))
+                .where("cls <> a").groupBy("a", F.col("cls").alias("b"))
+                .agg(F.first("n_a").alias("n_a"), F.first("n").alias("n_b"),
+                     F.max("fresh").alias("fresh")))
+
+    def beyond(self, extras: Column, n: Column) -> Column:
+        """Whether a set of n has so much beyond the pivot that links share some of it."""
+        # r * (n_x + n_y) is at most this, as the sizes of linked sets are similar
+        return (extras * (100 + self.percent) * self.percent
+                > n * (100 - self.percent) * (100 + self.percent))
+
+    def by_extras(self, met: DataFrame) -> DataFrame:
+        """Links of the members that have much beyond their pivot (``far``) and are new to
+        it (``fresh``) with other members. ``met``: a, b, n_b, delta, extras, fresh, far."""
+        up, down = 100 + self.percent, 100 - self.percent
+        e = F.col("extras")
+        own = F.slice("delta", F.size("delta") - e + 1, e)
+        entries = met.where("extras > 0").select("a", "b", F.explode(own).alias("e"))
+        common = (entries.groupBy("a", "e").agg(F.count("*").alias("held")).where("held > 1")
+                  .select(F.col("a").alias("ca"), F.col("e").alias("ce"), "held"))
+        ranked = (entries.join(common, (F.col("a") == F.col("ca")) & (F.col("e") == F.col("ce")))
+                  .groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("held", "e")))
+                                         .alias("values")))
+        # r * (n_x + n_y) <= n * down * (100 + percent) / (up * percent)
+        most = F.expr(f"n_b * {down * (100 + self.percent)} DIV {up * self.percent}") + 1
+        placed = (ranked.join(met.drop("delta"), ["a", "b"])
+                  .select("*", (e - F.size("values")).alias("alone"),
+                          F.posexplode("values").alias("at", "entry"))
+                  .withColumn("rank", F.col("alone") + F.col("at")).where(F.col("rank") < most)
+                  .withColumn("left", e - F.col("rank")).withColumn("asks", F.expr("far AND fresh")))
+        index = placed.select(
+            F.col("a").alias("xa"), F.col("entry.e").alias("xe"), F.col("b").alias("x"),
+            F.col("extras").alias("ex"), F.col("n_b").alias("nx"), F.col("left").alias("left_x"),
+            F.col("asks").alias("asks_x"))
+        probe = placed.where("asks").select("a", F.col("entry.e").alias("e"),
+                                            F.col("b").alias("y"), "extras", "n_b", "left")
+        # from their first common extra on, both still need to hold enough
+        enough = ((F.col("ex") + e - 2 * F.least("left", "left_x")) * up
+                  <= (F.col("nx") + F.col("n_b")) * down)
+        pairs = probe.join(
+            index, (F.col("a") == F.col("xa")) & (F.col("e") == F.col("xe"))
+            & (F.col("x") != F.col("y")) & (~F.col("asks_x") | (F.col("x") < F.col("y"))) & enough
+        ).select("a", "x", "y").distinct()
+        return self.confirmed(pairs, met)
+
+    def confirmed(self, pairs: DataFrame, met: DataFrame) -> DataFrame:
+        """Of pairs (a: their pivot, x, y) those that link by what they differ in from it."""
+        up, down = 100 + self.percent, 100 - self.percent
+        sides = [met.select(F.col("a").alias(f"{c}a"), F.col("b").alias(f"{c}b"),
+                            F.col("n_b").alias(f"n{c}"), F.col("delta").alias(f"delta{c}"))
                  for c in "xy"]
         for c, side in zip("xy", sides, strict=True):
             pairs = pairs.join(side, (F.col("a") == F.col(f"{c}a")) & (F.col(c) == F.col(f"{c}b")))
@@ -239,29 +315,6 @@ class _Search:
         return (pairs.where(apart * up <= (F.col("nx") + F.col("ny")) * down)
                 .select(F.col("x").alias("a"), F.col("y").alias("b")))
 
-    def across(self, near: DataFrame, hung: DataFrame) -> DataFrame:
-        """Pairs of members of a list in different components, not both compared with its pivot."""
-        known = hung.select(F.col("a").alias("k"), F.col("b").alias("r"))
-        done = near.select(F.col("a").alias("da"), F.col("b").alias("db"))
-        placed = (self.lists.join(known, F.col("cls") == F.col("k"), "left")
-                  .withColumn("root", F.coalesce("r", "cls")))
-        split = (placed.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                 .where("lo < hi").select(F.col("value").alias("v")))
-        open_ = stored(
-            placed.join(split, F.col("value") == F.col("v"), "left_semi")
-            .join(done, (F.col("p") == F.col("da")) & (F.col("cls") == F.col("db")), "left")
-            .select("value", "cls", "n", "root",
-                    (F.col("db").isNotNull() | (F.col("cls") == F.col("p"))).alias("seen")),
-            "open-lists")
-        other = open_.select(F.col("value").alias("v"), F.col("cls").alias("c"),
-                             F.col("n").alias("m"), F.col("root").alias("r"),
-                             F.col("seen").alias("also"))
-        near_size = similar_sizes(F.col("n"), F.col("m"), self.percent)
-        return (open_.join(other, (F.col("value") == F.col("v")) & (F.col("cls") < F.col("c"))
-                           & (F.col("root") != F.col("r")) & near_size
-                           & ~(F.col("seen") & F.col("also")))
-                .select(F.col("cls").alias("a"), F.col("c").alias("b")).distinct())
-
     def likely(self, pairs: DataFrame, wide: int = 1) -> DataFrame:
         """Pairs that the sketch of their union does not rule out; ``wide`` lowers the bar.
 
@@ -283,7 +336,8 @@ class _Search:
         return both.where(F.col("hits") * wide >= least).select("a", "b", "n_a", "n_b")
 
     def compared(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a written table) with ``delta``, where their full sets differ, and ``linked``."""
+        """Pairs with ``delta``, where their full sets differ, ``extras``, how many of the
+        last ones of these b alone has, and ``linked``; other columns stay."""
         taken = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
         wanted = self.classes.join(taken, "cls", "left_semi").select("cls", "digest")
         # a bit array of fixed size says which texts are needed; hits are joined exactly
@@ -300,47 +354,67 @@ class _Search:
         sets = stored(sets.join(wanted, "digest").select("cls", "members"), "sets")
         of_b = sets.select(F.col("cls").alias("cb"), F.col("members").alias("m_b"))
         of_a = sets.select(F.col("cls").alias("ca"), F.col("members").alias("m_a"))
-        delta = F.concat(F.array_except("m_a", "m_b"), F.array_except("m_b", "m_a"))
+        others = [c for c in pairs.columns if c not in ("a", "b", "n_a", "n_b")]
         # with d = size of delta: union (n_a + n_b + d) / 2, intersection (n_a + n_b - d) / 2
         linked = (F.size("delta") * (100 + self.percent)
                   <= (F.col("n_a") + F.col("n_b")) * (100 - self.percent))
         return (pairs.join(of_b, F.col("b") == F.col("cb")).join(of_a, F.col("a") == F.col("ca"))
-                .select("a", "b", "n_a", "n_b", delta.alias("delta"))
+                .select("a", "b", "n_a", "n_b", *others, F.array_except("m_a", "m_b").alias("less"),
+                        F.array_except("m_b", "m_a").alias("more"))
+                .select("a", "b", "n_a", "n_b", *others, F.concat("less", "more").alias("delta"),
+                        F.size("more").cast("long").alias("extras"))
                 .withColumn("linked", linked))
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
-                    shingle: int = SHINGLE, percent: int = PERCENT, k: int = K,
-                    filter_bits: int = FILTER_BITS) -> DataFrame:
-    """Per row: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
+def _mark(text: str) -> Column:
+    """Tells the texts of rows that share an id, or have none, apart."""
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
 
-    Rows link when their shingle sets share ``percent`` % of their union or more;
-    ``component_id`` is the least id that links reach, the row's own included, and
-    ``kept`` says that it is the row's own. Null and empty texts, or texts without
-    words, link with nothing. A null id never is the least; it is the component
-    of rows that reach no other id, and such rows are kept. Rows that repeat an id
-    are that document each time. An empty table gives an empty result; other
-    columns are not read.
-    """
-    search = _Search(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
+
+def _rooted(docs: DataFrame, text: str, doc_id: str, shingle: int, percent: int, k: int,
+            filter_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, mark, n, digest, ...), and digest, root, component_id of every class."""
+    search = _Search(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
+                                 _mark(text).alias("mark")),
                      shingle, percent, k, filter_bits)
     near = stored(search.compared(stored(search.likely(search.with_pivot(), wide=2), "likely")),
                   "near")
     links = stored(near.where("linked").select("a", "b").union(search.by_difference(near)),
                    "links")
     hung = stars(links)  # roots are not listed, a class that is not is its own
-    rest = stored(search.likely(search.across(near, hung)), "likely")
+    rest = stored(search.open_pairs(near, hung), "open")
     if not rest.isEmpty():
-        more = stored(search.compared(rest).where("linked").select("a", "b"), "links")
+        met = stored(search.compared(rest).withColumn(
+            "far", search.beyond(F.col("extras"), F.col("n_b"))), "met")
+        more = stored(met.where("linked").select("a", "b")
+                      .union(search.by_difference(met.where("NOT far")))
+                      .union(search.by_extras(met)), "links")
         if not more.isEmpty():
             hung = stars(hung.union(more))
     roots = hung.select(F.col("a").alias("node"), F.col("b").alias("root"))
     rooted = search.classes.join(roots, F.col("cls") == F.col("node"), "left").select(
         "digest", "doc_id", F.coalesce("root", "cls").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_digest = rooted.join(least, "root").select(F.col("digest").alias("d"), "component_id")
+    return search.rows, rooted.join(least, "root").select(
+        F.col("digest").alias("d"), "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
+                    shingle: int = SHINGLE, percent: int = PERCENT, k: int = K,
+                    filter_bits: int = FILTER_BITS) -> DataFrame:
+    """Per row: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
+
+    Rows link when their shingle sets share ``percent`` % of their union or more;
+    ``component_id`` is the least id that links reach, the row's own included, and
+    ``kept`` says that it is the row's own. Null and empty texts, or texts without
+    words, link with nothing. A null id never is the least; it is the component
+    of rows that reach no other id, and such rows are kept. Rows that repeat an id
+    are that document each time. An empty table gives an empty result; other
+    columns are not read.
+    """
+    rows, classes = _rooted(docs, text, doc_id, shingle, percent, k, filter_bits)
     own = F.col("doc_id")
-    return (search.rows.join(by_digest, F.col("digest") == F.col("d"), "left")
+    return (rows.join(classes, F.col("digest") == F.col("d"), "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(own)
                     .alias("component_id"))
@@ -348,11 +422,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 
 def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
-               **options) -> DataFrame:
+               shingle: int = SHINGLE, percent: int = PERCENT, k: int = K,
+               filter_bits: int = FILTER_BITS) -> DataFrame:
     """The documents without near duplicates, one of each group, columns as they were.
 
-    The one with the least id stays. Rows without an id can't be named and stay.
+    The one with the least id stays, of several texts with that id, or of a group
+    without ids, the one whose text has the least hash. Rows of equal id and text are
+    one document and stay or go together. Texts without words stay.
     """
-    gone = (near_duplicates(docs, text, doc_id, **options).where(~F.col("kept"))
-            .select(F.col("doc_id").alias(doc_id)).distinct())
-    return docs.join(gone, doc_id, "left_anti")
+    rows, classes = _rooted(docs, text, doc_id, shingle, percent, k, filter_bits)
+    grouped = rows.where("n > 0").join(classes, F.col("digest") == F.col("d")).select(
+        "root", "doc_id", "mark")
+    stays = grouped.groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")).alias("stays"))
+    gone = (grouped.join(stays, "root")
+            .where(~(F.col("doc_id").eqNullSafe(F.col("stays.doc_id"))
+                     & (F.col("mark") == F.col("stays.mark"))))
+            .select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct())
+    return docs.join(gone, F.col(doc_id).eqNullSafe(F.col("__id"))
+                     & (_mark(text) == F.col("__mark")), "left_anti")

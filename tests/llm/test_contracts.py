@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -440,6 +441,60 @@ def test_a_cluster_around_one_text_loses_no_link(spark):
     assert shape_of(near_dedup.near_duplicates(frame, shingle=4)) == components_of(rows, 4)
 
 
+def test_many_unlike_texts_on_one_passage(spark):
+    """Texts of half a passage and half their own make no pairs of each other, and no link
+    among them or with what is left of the passage is lost."""
+    random = np.random.default_rng(5)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(0, " ".join(passage))]
+    for i in range(1, 500):
+        own = [f"o{random.integers(10**7)}" for _ in range(int(random.integers(20, 50)))]
+        rows.append((i, " ".join(passage + own)))
+    for i in range(500, 560):  # near copies of some of them, and of these
+        words_ = rows[int(random.integers(1, i))][1].split()
+        words_[int(random.integers(60, len(words_)))] = "changed"
+        rows.append((i, " ".join(words_[int(random.integers(0, 3)):])))
+    for i in range(560, 640):  # parts of the passage
+        low = int(random.integers(0, 30))
+        rows.append((i, " ".join(passage[low:low + int(random.integers(20, 30))])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert shape_of(near_dedup.near_duplicates(frame, shingle=4)) == components_of(rows, 4)
+
+
+def test_open_lists_are_closed_without_pairs(spark):
+    """2,000 classes on one value that do not link: a row per member at each step."""
+    random = np.random.default_rng(6)
+    passage = [f"p{i}" for i in range(45)]
+    rows = [(i, " ".join(passage + [f"o{random.integers(10**8)}" for _ in range(55)]))
+            for i in range(2000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    search = near_dedup._Search(frame.withColumn("mark", F.lit(b"")), 4, 80, 8, 1 << 16)
+    nothing = spark.createDataFrame([], "a long, b long")
+    opened = search.open_pairs(nothing, nothing)
+    held = search.lists.count()
+    assert 1000 < opened.count() <= 2 * held
+    found = near_dedup.near_duplicates(frame, shingle=4, k=8)
+    assert found.where("kept").count() == 2000
+
+
+def test_near_dedup_goes_by_row(spark):
+    near = P.replace("omega", "omega extra")
+    other = " ".join(f"u{i}" for i in range(40))
+    rows = [(1, near), (0, P), (1, other), (None, P.replace("alpha", "alpha x")),
+            (None, P.replace("beta", "beta y")), (None, other.replace("u39", "z")),
+            (None, " ".join(f"v{i}" for i in range(40))),
+            (None, " ".join(f"v{i}" for i in range(41))), (2, None), (2, ""), (None, None)]
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows],
+                                  "doc_id long, text string, mark string, root long")
+    left = near_dedup.near_dedup(frame, percent=60).collect()
+    got = sorted(((r.doc_id, r.text) for r in left), key=str)
+    of_v = [t for _, t in got if t and t.startswith("v")]
+    assert len(of_v) == 1
+    assert got == sorted([(0, P), (1, other), (2, None), (2, ""), (None, None),
+                          (None, of_v[0])], key=str)
+    assert left[0].asDict().keys() == {"doc_id", "text", "mark", "root"}
+
+
 def test_components_of_chains_stars_and_repeats(spark):
     random = np.random.default_rng(4)
     pairs = [(i, i + 1) for i in range(0, 40)]  # a chain
