@@ -7,8 +7,11 @@ scaled forward recursion over its whole length.
 
 1. Word counts of the training texts, combined before they move.
 2. Each text becomes numbers of symbols plus its rare words, written once.
-3. A few rounds of Baum-Welch: tasks add up expected starts, transitions and
+3. Rounds of Baum-Welch: tasks add up expected starts, transitions and
    emissions of their texts, the sums make the next model, which has a fixed size.
+   They end when a round gains too little likelihood. States begin apart, each with
+   words of its own and staying for some words: from states that are nearly alike the
+   first rounds lead nowhere.
 4. Scores: the forward recursion in each task; the rare words' counts are
    joined by word. Frequent words never take part in that join, so no word is hot.
 """
@@ -33,7 +36,9 @@ FOLDS = 7
 HELD_OUT = 2
 STATES = 8
 SYMBOLS = 1 << 15
-ITERATIONS = 3
+# Rounds end below this relative gain in log likelihood, and after so many at the latest.
+GAIN = 0.001
+ITERATIONS = 5
 SEED = 11
 # Training sequences: a longer text is that many words at a time.
 SEQUENCE = 512
@@ -110,12 +115,11 @@ class Model:
 
     @staticmethod
     def first(counts: np.ndarray, states: int, seed: int) -> Model:
-        """States that emit the corpus frequencies, each shaken in its own way."""
+        """States that share out the corpus frequencies unevenly and mostly go on."""
         random = np.random.default_rng(seed)
-        emit = (counts[:, None] + 0.5) * random.uniform(0.5, 1.5, (len(counts), states))
-        move = random.uniform(0.5, 1.5, (states, states))
-        return Model(np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True),
-                     emit / emit.sum(axis=0))
+        emit = (counts[:, None] + 0.5) * (random.gamma(0.3, size=(len(counts), states)) + 1e-3)
+        move = np.full((states, states), 0.16 / states) + 0.84 * np.eye(states)
+        return Model(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
 
     @staticmethod
     def of(start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> Model:
@@ -125,11 +129,21 @@ class Model:
                      emit / emit.sum(axis=0))
 
 
+    def within(self) -> np.ndarray:
+        """Probabilities of the states somewhere within a text: those that moves keep."""
+        kept = np.linalg.matrix_power(self.move, 64).mean(axis=0)
+        return kept / kept.sum()
+
+
 class _Batch:
-    """Sequences side by side, longest first, so that those still running are the first ones."""
+    """Sequences side by side, longest first, so that those still running are the first ones.
 
-    def __init__(self, sequences: list[np.ndarray]):
+    ``opens`` tells which of them begin a text; others go on within one.
+    """
+
+    def __init__(self, sequences: list[np.ndarray], opens: list[bool] | None = None):
         self.order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
+        self.opens = np.array([opens is None or opens[i] for i in self.order])
         lengths = np.array([len(sequences[i]) for i in self.order])
         self.flat = np.concatenate([sequences[i] for i in self.order]).astype(np.int64)
         self.begin = np.cumsum(lengths) - lengths
@@ -156,16 +170,17 @@ class _Batch:
         back[self.order] = total
         return back
 
-    def expected(self, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected counts of starts, transitions and emissions (states x symbols)."""
+    def expected(self, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """Expected counts of starts, transitions and emissions (states x symbols), and the
+        log10 probability of all sequences."""
+        first = np.where(self.opens[:, None], model.start, model.within())
         states = len(model.start)
         alphas = np.empty((len(self.flat), states))
         scales = np.empty(len(self.flat))
         alpha = None
         for t in range(self.most):
             at = self.at(t)
-            ahead = (np.broadcast_to(model.start, (len(at), states)) if alpha is None
-                     else alpha[:len(at)] @ model.move)
+            ahead = first if alpha is None else alpha[:len(at)] @ model.move
             alpha = ahead * model.emit[self.flat[at]]
             scales[at] = alpha.sum(axis=1)
             alpha /= scales[at][:, None]
@@ -184,18 +199,20 @@ class _Batch:
             beta = now * model.emit[self.flat[at]] / scales[at][:, None]
         emit = np.stack([np.bincount(self.flat, gamma[:, k], len(model.emit))
                          for k in range(states)])
-        return gamma[self.begin].sum(axis=0), move * model.move, emit
+        starts = gamma[self.begin[self.opens]].sum(axis=0)
+        return starts, move * model.move, emit, float(np.log10(scales).sum())
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], most: int, sequence: int | None = None):
-    """(rows, sequences) of about ``most`` tokens; texts in parts of ``sequence`` if asked."""
+    """(rows, sequences) of about ``most`` tokens; texts in parts of ``sequence`` if asked.
+    A row is its batch, its place in it, and the part's place in the text."""
     rows, sequences, size = [], [], 0
     for batch in batches:
         for i, raw in enumerate(batch.column("ids")):
             ids = np.frombuffer(raw.as_py(), "<u2")
             for low in range(0, len(ids), sequence or len(ids)):
                 part = ids[low:low + (sequence or len(ids))]
-                rows.append((batch, i))
+                rows.append((batch, i, low))
                 sequences.append(part)
                 size += len(part)
             if size >= most:
@@ -206,20 +223,22 @@ def _grouped(batches: Iterator[pa.RecordBatch], most: int, sequence: int | None
 
 
 def _expected(model: Model):
-    """Expected counts of a task as rows: kind 0 start, 1 transition, 2 emission."""
+    """Expected counts of a task as rows: kind 0 start, 1 transition, 2 emission, and 3 the
+    log likelihood (in the first column)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states = len(model.start)
         start, move = np.zeros(states), np.zeros((states, states))
-        emit = np.zeros((states, len(model.emit)))
-        for _, sequences in _grouped(batches, TRAIN_TOKENS, SEQUENCE):
-            a, b, c = _Batch(sequences).expected(model)
+        emit, fit = np.zeros((states, len(model.emit))), np.zeros(states)
+        for rows, sequences in _grouped(batches, TRAIN_TOKENS, SEQUENCE):
+            a, b, c, d = _Batch(sequences, [low == 0 for *_, low in rows]).expected(model)
             start += a
             move += b
             emit += c
+            fit[0] += d
         seen = np.flatnonzero(emit.any(axis=0))
-        kinds = [0] + [1] * states + [2] * len(seen)
-        numbers = [0, *range(states), *seen.tolist()]
-        values = np.concatenate([start[None, :], move, emit[:, seen].T])
+        kinds = [0, 3] + [1] * states + [2] * len(seen)
+        numbers = [0, 0, *range(states), *seen.tolist()]
+        values = np.concatenate([start[None, :], fit[None, :], move, emit[:, seen].T])
         yield pa.RecordBatch.from_arrays(
             [pa.array(kinds, pa.int32()), pa.array(numbers, pa.int32()),
              *[pa.array(values[:, k]) for k in range(states)]],
@@ -228,8 +247,13 @@ def _expected(model: Model):
     return run
 
 
-def baum_welch(encoded: DataFrame, model: Model, iterations: int) -> Model:
-    """Iterate over all training sequences; only sums of the model's fixed size are collected."""
+def baum_welch(encoded: DataFrame, model: Model, iterations: int, gain: float = GAIN) -> Model:
+    """Iterate over all training sequences; only sums of the model's fixed size are collected.
+
+    Ends when a round fits better than the one before by less than ``gain`` of its log
+    likelihood, and after ``iterations`` rounds at the latest.
+    """
+    last = None
     states = len(model.start)
     names = [f"s{k}" for k in range(states)]
     schema = "kind int, number int, " + ", ".join(f"{n} double" for n in names)
@@ -245,6 +269,10 @@ def baum_welch(encoded: DataFrame, model: Model, iterations: int) -> Model:
         move[number[kind == 1]] = values[kind == 1]
         emit[number[kind == 2]] = values[kind == 2]
         model = Model.of(start, move, emit)
+        fit = values[kind == 3].sum()
+        if last is not None and fit - last < gain * abs(last):
+            break
+        last = fit
     return model
 
 
@@ -253,12 +281,12 @@ def _scored(model: Model):
         for rows, sequences in _grouped(batches, SCORE_TOKENS):
             scores = _Batch(sequences).likelihood(model)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([b.column("uid")[i].as_py() for b, i in rows], pa.int64()),
-                 pa.array([b.column("doc_id")[i].as_py() for b, i in rows],
+                [pa.array([b.column("uid")[i].as_py() for b, i, _ in rows], pa.int64()),
+                 pa.array([b.column("doc_id")[i].as_py() for b, i, _ in rows],
                           rows[0][0].column("doc_id").type),
-                 pa.array([b.column("held_out")[i].as_py() for b, i in rows]),
-                 pa.array([b.column("n_tokens")[i].as_py() for b, i in rows], pa.int64()),
-                 pa.array([b.column("base")[i].as_py() for b, i in rows]), pa.array(scores)],
+                 pa.array([b.column("held_out")[i].as_py() for b, i, _ in rows]),
+                 pa.array([b.column("n_tokens")[i].as_py() for b, i, _ in rows], pa.int64()),
+                 pa.array([b.column("base")[i].as_py() for b, i, _ in rows]), pa.array(scores)],
                 ["uid", "doc_id", "held_out", "n_tokens", "base", "hidden"])
 
     return run

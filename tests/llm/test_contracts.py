@@ -908,10 +908,81 @@ def test_recursions_equal_sums_over_all_paths():
                 emit[state, s[t]] += p / whole
                 if t:
                     move[path[t - 1], state] += p / whole
-    for found, want in zip(batch.expected(model), (start, move, emit), strict=True):
+    for found, want in zip(batch.expected(model),
+                           (start, move, emit, np.log10(total).sum()), strict=True):
         assert found == pytest.approx(want)
 
 
+def test_parts_within_a_text_are_no_starts():
+    model = hmm.Model.first(np.array([5.0, 3.0, 2.0]), 2, 1)
+    parts = [np.array([0, 1, 2], "<u2"), np.array([2, 1], "<u2")]
+    start, move, emit, _ = hmm._Batch(parts, [True, False]).expected(model)
+    assert start.sum() == pytest.approx(1) and move.sum() == pytest.approx(3)
+    assert emit.sum() == pytest.approx(5)
+    assert model.within() @ model.move == pytest.approx(model.within())
+
+
+def test_scores_of_a_trained_model(spark):
+    """Training and scores, rare words' shares included, against plain loops."""
+    random = np.random.default_rng(8)
+    rows = [(i, " ".join(random.choice(["a", "b", "c", "d", f"r{i}"], 12))) for i in range(40)]
+    rows += [(90, None), (91, "never seen a")]
+    symbols, states, rounds = 4, 3, 2
+    tokens = {i: [*words(t), "\n"] for i, t in rows}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
+    c = Counter(w for i, ws in tokens.items() if not held[i] for w in ws)
+    top = sorted(c, key=lambda w: (-c[w], w.encode()))[:symbols]
+    rest, rest_words = sum(c.values()) - sum(c[w] for w in top), len(c) - len(top)
+    number = {w: k for k, w in enumerate(top)}
+    model = hmm.Model.first(np.array([*(c[w] for w in top), rest], float), states, hmm.SEED)
+    start, move, emit = model.start, model.move, model.emit
+
+    def forward(s):
+        out = [start * emit[s[0]]]
+        for x in s[1:]:
+            out.append((out[-1] @ move) * emit[x])
+        return out
+
+    coded = {i: [number.get(w, symbols) for w in ws] for i, ws in tokens.items()}
+    for _ in range(rounds):
+        a, b, e = np.full(states, 0.1), np.full((states, states), 0.1), np.full(emit.shape, 0.01)
+        for i, s in coded.items():
+            if held[i]:
+                continue
+            ahead, back = forward(s), [np.ones(states)]
+            for x in s[:0:-1]:
+                back.insert(0, move @ (emit[x] * back[0]))
+            whole = ahead[-1].sum()
+            for t, x in enumerate(s):
+                gamma = ahead[t] * back[t] / whole
+                e[x] += gamma
+                if t == 0:
+                    a += gamma
+                else:
+                    b += np.outer(ahead[t - 1], emit[x] * back[t]) * move / whole
+        start, move, emit = a / a.sum(), b / b.sum(axis=1, keepdims=True), e / e.sum(axis=0)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = hmm.score(frame, states=states, symbols=symbols, iterations=rounds)
+    for r in found.collect():
+        share = sum(math.log10((c[w] + 1) / (rest + rest_words + 1))
+                    for w in tokens[r.doc_id] if w not in number)
+        want = math.log10(forward(coded[r.doc_id])[-1].sum()) + share
+        assert r.score == pytest.approx(want, rel=1e-9), r.doc_id
+
+
+def test_the_model_learns_more_than_word_counts(spark):
+    held = queries.op10_hidden_markov_score(spark, "/root/testdata/sf0.01").where("held_out")
+    score, base, n = held.agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert (score - base) / n > 0.1
+
+
+def test_rounds_end_when_they_gain_little(spark):
+    frame = spark.createDataFrame([(i, "same words again") for i in range(20)],
+                                  "doc_id long, text string")
+    one, many = (hmm.score(frame, iterations=k).agg(F.sum("score")).first()[0] for k in (1, 60))
+    assert many >= one
+
+
 # --- pipeline
 
 
