@@ -138,31 +138,35 @@ class Model:
 class _Batch:
     """Sequences side by side, longest first, so that those still running are the first ones.
 
-    ``opens`` tells which of them begin a text; others go on within one.
+    Tokens lie step by step, those of a step side by side, so that a step is a slice.
+    ``opens`` tells which sequences begin a text; others go on within one.
     """
 
     def __init__(self, sequences: list[np.ndarray], opens: list[bool] | None = None):
         self.order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
         self.opens = np.array([opens is None or opens[i] for i in self.order])
         lengths = np.array([len(sequences[i]) for i in self.order])
-        self.flat = np.concatenate([sequences[i] for i in self.order]).astype(np.int64)
-        self.begin = np.cumsum(lengths) - lengths
-        self.most = int(lengths[0])
-        self.running = np.searchsorted(-lengths, -np.arange(1, self.most + 1), side="right")
-
-    def at(self, t: int) -> np.ndarray:
-        """Places in ``flat`` of the t-th tokens."""
-        return self.begin[:self.running[t]] + t
+        flat = np.concatenate([sequences[i] for i in self.order]).astype(np.int64)
+        begin = np.cumsum(lengths) - lengths
+        steps = np.arange(1, int(lengths[0]) + 1)
+        self.running = np.searchsorted(-lengths, -steps, side="right")
+        self.ends = np.cumsum(self.running)
+        step = np.repeat(steps - 1, self.running)
+        inside = np.arange(len(flat)) - np.repeat(self.ends - self.running, self.running)
+        self.flat = flat[begin[inside] + step]
+
+    def steps(self) -> list[slice]:
+        return [slice(b, e) for b, e in zip((self.ends - self.running).tolist(),
+                                            self.ends.tolist(), strict=True)]
 
     def likelihood(self, model: Model) -> np.ndarray:
         """log10 probability of each sequence, in the order they came."""
         total = np.zeros(len(self.order))
         alpha = None
-        for t in range(self.most):
-            live = self.running[t]
-            ahead = (np.broadcast_to(model.start, (live, len(model.start))) if alpha is None
-                     else alpha[:live] @ model.move)
-            alpha = ahead * model.emit[self.flat[self.at(t)]]
+        for at in self.steps():
+            live = at.stop - at.start
+            alpha = (model.start if alpha is None else alpha[:live] @ model.move) * (
+                model.emit[self.flat[at]])
             scale = alpha.sum(axis=1, keepdims=True)
             alpha /= scale
             total[:live] += np.log10(scale[:, 0])
@@ -173,33 +177,31 @@ class _Batch:
     def expected(self, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
         """Expected counts of starts, transitions and emissions (states x symbols), and the
         log10 probability of all sequences."""
-        first = np.where(self.opens[:, None], model.start, model.within())
-        states = len(model.start)
-        alphas = np.empty((len(self.flat), states))
-        scales = np.empty(len(self.flat))
+        states, steps = len(model.start), self.steps()
+        emits = model.emit[self.flat]
+        alphas, scales = np.empty_like(emits), np.empty(len(self.flat))
         alpha = None
-        for t in range(self.most):
-            at = self.at(t)
-            ahead = first if alpha is None else alpha[:len(at)] @ model.move
-            alpha = ahead * model.emit[self.flat[at]]
+        for at in steps:
+            ahead = (np.where(self.opens[:, None], model.start, model.within())
+                     if alpha is None else alpha[:at.stop - at.start] @ model.move)
+            alpha = ahead * emits[at]
             scales[at] = alpha.sum(axis=1)
             alpha /= scales[at][:, None]
             alphas[at] = alpha
-        gamma, move = alphas, np.zeros((states, states))
+        emits /= scales[:, None]
+        move, back = np.zeros((states, states)), model.move.T
         beta = np.ones((0, states))
-        for t in range(self.most - 1, -1, -1):
-            at = self.at(t)
-            now = np.ones((len(at), states))
+        for at in reversed(steps):
+            now = np.ones((at.stop - at.start, states))
             if len(beta):
                 # those that go on; the others end here
-                now[:len(beta)] = beta @ model.move.T
-                move += alphas[at[:len(beta)]].T @ beta
-            alphas_t = alphas[at]
-            gamma[at] = alphas_t * now
-            beta = now * model.emit[self.flat[at]] / scales[at][:, None]
-        emit = np.stack([np.bincount(self.flat, gamma[:, k], len(model.emit))
+                now[:len(beta)] = beta @ back
+                move += alphas[at][:len(beta)].T @ beta
+            alphas[at] *= now
+            beta = now * emits[at]
+        emit = np.stack([np.bincount(self.flat, alphas[:, k], len(model.emit))
                          for k in range(states)])
-        starts = gamma[self.begin[self.opens]].sum(axis=0)
+        starts = alphas[steps[0]][self.opens].sum(axis=0)
         return starts, move * model.move, emit, float(np.log10(scales).sum())
 
 
