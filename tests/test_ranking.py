@@ -214,18 +214,26 @@ def test_delivery_filters_reach_the_scan(spark, frame, tmp_path):
     assert "unused" not in scan and "model_yr" not in scan
 
 
-def test_lookups_on_the_same_key_share_the_shuffle(frame):
-    events = frame([ev("A", "2023-03-01", "2023-03-02")], EVENT)
+def test_history_and_increment_share_one_pass(frame):
+    """Events are reduced and given their owners once, for both halves: what is read
+    afterwards is the written table."""
+    events = frame([ev("A", "2023-03-01", "2023-03-02"), ev("A", "2023-05-01", "2023-06-01")], EVENT)
     owners = frame([own("A", 1, "2023-01-01")], OWNER)
-    spark = events.sparkSession
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        plan = plan_of(attribution.event_history(events, owners, D(2023, 6, 1)))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    moved = [line for line in plan.splitlines()
-             if "Exchange hashpartitioning(vin" in line and skew.PIECE in line
-             and "ReusedExchange" not in line]
-    assert len(moved) == 1
+    both = attribution.attributed(events, owners, D(2023, 6, 1))
+    plan = plan_of(both)
+    assert "Scan ExistingRDD" not in plan and "LocalTableScan" not in plan
+    assert plan.count("Exchange hashpartitioning") <= 2
+    apart = attribution.event_history(events, owners, D(2023, 6, 1)).unionByName(
+        attribution.new_events(events, owners, D(2023, 6, 1)))
+    assert rows(both) == rows(apart) and both.count() == 2
+
+
+def test_dealt_vehicles_give_the_same_history(frame):
+    random.seed(5)
+    events = frame([ev(v, f"2023-03-{random.randint(1, 28):02d}", f"2023-04-{random.randint(1, 28):02d}")
+                    for v in "AAAAAAAAAAAAAAAB"], EVENT)
+    owners = frame([own(v, d, f"2023-0{d}-01") for v in "AB" for d in (1, 2)], OWNER)
+    plain = attribution.attributed(events, owners, D(2023, 4, 20))
+    dealt = attribution.attributed(events, owners, D(2023, 4, 20),
+                                   hot=skew.hot_keys(events, ["vin"], rows=3))
+    assert rows(plain) == rows(dealt) and not plain.isEmpty()
