@@ -368,6 +368,32 @@ def test_exact_groups_of_odd_rows(odd, odd_rows, none, buckets):
     assert exact_dedup.exact_groups(none).count() == 0
 
 
+def test_buckets_follow_the_rows():
+    assert exact_dedup.prefix_buckets(0) == exact_dedup.BUCKETS
+    for rows in (exact_dedup.BUCKETS, 100 * exact_dedup.BUCKETS):
+        assert exact_dedup.prefix_buckets(rows) >= exact_dedup.ROOM * rows
+    assert exact_dedup.prefix_buckets(10**12) == exact_dedup.MOST_BUCKETS
+
+
+def test_refinement_rules_rows_out_however_many_there_are(spark, monkeypatch):
+    # 100 rows for each of the buckets there are at least
+    monkeypatch.setattr(exact_dedup, "BUCKETS", 64)
+    docs = spark.range(6400).select(F.col("id").alias("doc_id"), F.concat(
+        F.sha2(F.col("id").cast("string"), 256), F.repeat(F.lit("x"), (F.col("id") % 7).cast("int"))
+    ).alias("text")).union(spark.createDataFrame([(9000, "same text"), (9001, "same  text")],
+                                                 "doc_id long, text string"))
+    alone, suspects = exact_dedup._levels(docs, "text", "doc_id", None, exact_dedup.PREFIX)
+    assert alone.count() > 0.7 * 6400
+    assert {9000, 9001} <= {r.id for r in suspects.select("id").collect()}
+    groups = exact_dedup.exact_groups(docs)
+    assert groups.where("group_size = 1").count() == 6400
+    assert [(r.keep_id, r.kept, r.group_size) for r in
+            groups.where("row.doc_id >= 9000").orderBy("row.doc_id").collect()] == [
+        (9001, False, 2), (9001, True, 2)]
+    assert exact_dedup.exact_dedup(docs).count() == 6401
+
+
+
 # --- 5 near copies
 
 
