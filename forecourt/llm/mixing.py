@@ -31,6 +31,16 @@ SHARD_WORDS = 1 << 17
 LEAST_BLOCKS = 256
 MOST_SOURCES = 100_000
 CELLS = 1 << 16
+CELL_ROWS = 16
+
+
+def cells_for(rows: int) -> int:
+    """Cells that so many rows are dealt into: shards are put together from whole cells.
+
+    They stay more than the shards as long as documents have fewer than
+    ``SHARD_WORDS / CELL_ROWS`` words on average.
+    """
+    return max(CELLS, 1 << (max(rows, 1) // CELL_ROWS).bit_length())
 
 
 def source_targets(sizes: Sequence[int], weights: Sequence[float], total: float,
@@ -117,7 +127,8 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     rows = docs.select(F.struct("*").alias("row"), F.col(source).alias("source"),
                        F.col(doc_id).alias("id"), word_count(text_or_empty(text)).alias("size"),
                        order.alias("order"))
-    rows = rows.withColumn("fine", F.col("order").bitwiseAND(CELLS - 1).cast("int"))
+    many = cells_for(docs.count())
+    rows = rows.withColumn("fine", F.col("order").bitwiseAND(many - 1))
     # sums are combined before they move, so a hot source is no hot key
     fine = stored(rows.groupBy("fine", "source").agg(F.sum("size").alias("cell")), "mix-cells")
     totals = few_rows(fine.groupBy("source").agg(F.sum("cell").alias("size"))
@@ -125,7 +136,7 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     sizes = [r["size"] for r in totals]
     given = [weights[i % len(weights)] for i in range(len(sizes))]
     targets = source_targets(sizes, given, share * sum(sizes), most)
-    shards = max(1, min(CELLS, -(-sum(sizes) // shard_words)))
+    shards = max(1, min(many, -(-sum(sizes) // shard_words)))
     parts = [max(1, min(shards, int(min(n, t)) // (block * LEAST_BLOCKS)))
              for n, t in zip(sizes, targets, strict=True)]
     spark = docs.sparkSession
@@ -135,7 +146,7 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
         "goal_source string, source_size long, target double, parts long"))
     of_source = F.col("source").eqNullSafe(F.col("goal_source"))
     # parts are spread over the shards, those of different sources from different ones on
-    shard = F.expr(f"CAST(((CAST(fine AS BIGINT) * parts DIV {CELLS}) * {shards} DIV parts "
+    shard = F.expr(f"CAST(((fine * parts DIV {many}) * {shards} DIV parts "
                    f"+ pmod(xxhash64(source), {shards})) % {shards} AS INT)")
     cells = (fine.join(goals, of_source).withColumn("shard", shard)
              .groupBy("shard", "source", "source_size", "target").agg(F.sum("cell").alias("cell"))
