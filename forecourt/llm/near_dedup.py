@@ -51,6 +51,10 @@ SHINGLE = 5
 PERCENT = 80
 K = 64
 FILTER_BITS = 1 << 23
+MOST_FILTER_BITS = 1 << 28
+ROOM = 16
+# Fixed value: the bits of one of Spark's bitmaps
+BITMAP = 1 << 15
 
 # Odd multipliers of the shingle hash.
 _POWER = 0x9E3779B97F4A7C15
@@ -94,21 +98,42 @@ def _sketches(size: int, k: int):
     return run
 
 
+def filter_size(pairs: int) -> int:
+    """Bits of the array that tells the texts of so many pairs: ``ROOM`` a text, 32 MB at most."""
+    wanted = 1 << (2 * ROOM * max(pairs, 1) - 1).bit_length()
+    return max(FILTER_BITS, min(MOST_FILTER_BITS, wanted))
+
+
 def _bit(digest: bytes, bits: int) -> int:
-    return int.from_bytes(digest[:8], "little") % bits
+    return int.from_bytes(digest[:6], "big") % bits
+
+
+def _marks(digests: DataFrame, bits: int) -> bytes:
+    """A bit array with the bits of all digests set, put together from Spark's bitmaps."""
+    bit = F.conv(F.hex(F.substring("digest", 1, 6)), 16, 10).cast("long") % bits
+    blocks = (digests.select(F.floor(bit / BITMAP).alias("block"), (bit % BITMAP).alias("at"))
+              .repartition("block").groupBy("block")
+              .agg(F.bitmap_construct_agg("at").alias("marks")).toArrow())
+    marks = bytearray(-(-bits // BITMAP) * BITMAP // 8)
+    for block, part in zip(blocks["block"].to_pylist(), blocks["marks"].to_pylist(), strict=True):
+        marks[block * BITMAP // 8:(block + 1) * BITMAP // 8] = part
+    return bytes(marks)
 
 
 def _wanted_sets(size: int, bits: int, marks: bytes):
     """Sets of the texts whose digest may be wanted, each digest once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, done = np.unpackbits(np.frombuffer(marks, np.uint8)), set()
+        done = set()
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 digests, sets = [], []
                 for text in batch.slice(low, 256).column("text").to_pylist():
                     members = shingle_set(text, size)
+                    if not len(members):
+                        continue
                     digest = _digest(members)
-                    if len(members) and wanted[_bit(digest, bits)] and digest not in done:
+                    bit = _bit(digest, bits)
+                    if marks[bit >> 3] >> (bit & 7) & 1 and digest not in done:
                         if len(done) >= 100_000:
                             done.clear()  # bounded; a repeat is dropped later
                         done.add(digest)
@@ -121,22 +146,6 @@ def _wanted_sets(size: int, bits: int, marks: bytes):
     return run
 
 
-def _marks(bits: int):
-    """One bit array per task over the digests it saw."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(bits, np.uint8)
-        for batch in batches:
-            for digest in batch.column("digest").to_pylist():
-                seen[_bit(digest, bits)] = 1
-        packed = np.packbits(seen)
-        some = np.flatnonzero(packed)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.int64()), pa.array(packed[some].astype(np.int64), pa.int64())],
-            ["at", "byte"])
-
-    return run
-
-
 def needed(n: Column, k: int, percent: int) -> Column:
     """Sketch values that a similar class shares at least with a class of n shingles."""
     # up to this size a similar set is no larger than k, and both sketches are whole sets
@@ -154,7 +163,7 @@ def similar_sizes(a: Column, b: Column, percent: int) -> Column:
 class _Search:
     """The tables of one search; each is written once and read by the steps after it."""
 
-    def __init__(self, docs: DataFrame, size: int, percent: int, k: int, bits: int):
+    def __init__(self, docs: DataFrame, size: int, percent: int, k: int, bits: int | None):
         self.docs, self.size, self.percent, self.k, self.bits = docs, size, percent, k, bits
         kind = docs.schema["doc_id"].dataType.simpleString()
         self.rows = stored(docs.mapInArrow(
@@ -340,17 +349,13 @@ class _Search:
         last ones of these b alone has, and ``linked``; other columns stay."""
         taken = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
         wanted = self.classes.join(taken, "cls", "left_semi").select("cls", "digest")
-        # a bit array of fixed size says which texts are needed; hits are joined exactly
-        marks = np.zeros(self.bits // 8, np.uint8)
-        found = (wanted.select("digest").mapInArrow(_marks(self.bits), "at long, byte long")
-                 .groupBy("at").agg(F.bit_or("byte").alias("byte")))
-        # at most bits / 8 rows, however many texts there are, and one job
-        found = found.toArrow()
-        marks[found["at"].to_numpy()] = found["byte"].to_numpy()
+        # a bit array says which texts are needed; hits are joined exactly. Pairs are a
+        # written table, so they are counted from its footers
+        bits = self.bits or filter_size(pairs.count())
+        marks = _marks(wanted.select("digest"), bits)
         sets = (self.docs.select("text").mapInArrow(
-            _wanted_sets(self.size, self.bits, marks.tobytes()),
-            "digest binary, members array<long>").groupBy("digest")
-            .agg(F.first("members").alias("members")))
+            _wanted_sets(self.size, bits, marks), "digest binary, members array<long>")
+            .groupBy("digest").agg(F.first("members").alias("members")))
         sets = stored(sets.join(wanted, "digest").select("cls", "members"), "sets")
         of_b = sets.select(F.col("cls").alias("cb"), F.col("members").alias("m_b"))
         of_a = sets.select(F.col("cls").alias("ca"), F.col("members").alias("m_a"))
@@ -372,7 +377,7 @@ def _mark(text: str) -> Column:
 
 
 def _rooted(docs: DataFrame, text: str, doc_id: str, shingle: int, percent: int, k: int,
-            filter_bits: int) -> tuple[DataFrame, DataFrame]:
+            filter_bits: int | None) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, mark, n, digest, ...), and digest, root, component_id of every class."""
     search = _Search(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
                                  _mark(text).alias("mark")),
@@ -401,7 +406,7 @@ def _rooted(docs: DataFrame, text: str, doc_id: str, shingle: int, percent: int,
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                     shingle: int = SHINGLE, percent: int = PERCENT, k: int = K,
-                    filter_bits: int = FILTER_BITS) -> DataFrame:
+                    filter_bits: int | None = None) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
 
     Rows link when their shingle sets share ``percent`` % of their union or more;
@@ -410,7 +415,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     words, link with nothing. A null id never is the least; it is the component
     of rows that reach no other id, and such rows are kept. Rows that repeat an id
     are that document each time. An empty table gives an empty result; other
-    columns are not read.
+    columns are not read. ``filter_bits`` sets the size of the bit array that tells
+    which texts are read for comparing; else it follows from the pairs to compare.
     """
     rows, classes = _rooted(docs, text, doc_id, shingle, percent, k, filter_bits)
     own = F.col("doc_id")
@@ -423,7 +429,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                shingle: int = SHINGLE, percent: int = PERCENT, k: int = K,
-               filter_bits: int = FILTER_BITS) -> DataFrame:
+               filter_bits: int | None = None) -> DataFrame:
     """The documents without near duplicates, one of each group, columns as they were.
 
     The one with the least id stays, of several texts with that id, or of a group

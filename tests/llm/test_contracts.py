@@ -204,6 +204,23 @@ def test_a_source_of_short_rows_reaches_its_target_over_many_shards(spark, weigh
         assert abs(r["sum(taken)"] - r.target) < 0.01 * r.target + mixing.BLOCK
 
 
+def test_cells_follow_the_rows(spark, monkeypatch):
+    assert mixing.cells_for(0) == mixing.CELLS
+    assert mixing.cells_for(10**9) * mixing.CELL_ROWS >= 10**9
+    # with the rows' own number of cells, more shards than there are cells at least
+    monkeypatch.setattr(mixing, "CELLS", 4)
+    docs = spark.createDataFrame(
+        [(i, "one two three four five " * 8, "ab"[i % 2]) for i in range(4000)],
+        "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "LEAST_BLOCKS", 16)
+    sums = mixing.mix(docs, shard_words=2000).selectExpr(
+        "row.source AS s", "target", "passes * size + cut AS taken").groupBy("s", "target").sum(
+        "taken").collect()
+    assert len(sums) == 2
+    for r in sums:
+        assert abs(r["sum(taken)"] - r.target) < 0.02 * r.target
+
+
 # --- 2 pseudonyms
 
 
@@ -449,6 +466,20 @@ def test_near_duplicates_of_odd_rows(odd, odd_rows, none):
     assert set(left.columns) == set(odd.columns)
 
 
+def test_the_filter_follows_the_pairs(spark):
+    assert near_dedup.filter_size(0) == near_dedup.FILTER_BITS
+    pairs = 4 * near_dedup.FILTER_BITS // near_dedup.ROOM
+    assert near_dedup.filter_size(pairs) >= 2 * near_dedup.ROOM * pairs
+    assert near_dedup.filter_size(10**12) == near_dedup.MOST_FILTER_BITS
+    digests = [bytes(np.random.default_rng(i).integers(0, 256, 16, np.uint8)) for i in range(300)]
+    frame = spark.createDataFrame([(d,) for d in digests], "digest binary")
+    for bits in (64, 5000, 1 << 17):
+        marks = np.frombuffer(near_dedup._marks(frame, bits), np.uint8)
+        found = np.flatnonzero(np.unpackbits(marks, bitorder="little"))
+        assert set(found) == {near_dedup._bit(d, bits) for d in digests}
+    assert not any(near_dedup._marks(frame.limit(0), 1 << 16))
+
+
 def test_a_cluster_around_one_text_loses_no_link(spark):
     """Copies at all distances from one text: links that don't go through it count too."""
     random = np.random.default_rng(9)
