@@ -7,6 +7,7 @@ are landmarks, and one-versus-rest kernel ridge regression weighs them. A batch
 of texts is scored by two matrix products.
 
 n-grams are those of the training sample; a text's other n-grams count for nothing.
+Only landmarks are held as a matrix over n-grams, other texts batch by batch.
 """
 
 from __future__ import annotations
@@ -23,7 +24,10 @@ from forecourt.llm.shared import crc_fold, few_rows, fold_of
 
 FOLDS = 5
 PER_LANGUAGE = 300
+MOST_TEXTS = 20_000
 LANDMARKS = 128
+LANDMARKS_EACH = 2
+BATCH = 128
 LEAST_TEXTS = 3
 RIDGE = 1e-3
 LONGEST = 3
@@ -136,7 +140,10 @@ def kernel(presence: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
 
 def train(rows: list[tuple[str, str]], landmarks: int = LANDMARKS,
           ridge: float = RIDGE) -> Model | None:
-    """A model from (text, language) rows in a fixed order; None without rows."""
+    """A model from (text, language) rows in a fixed order; None without rows.
+
+    There are ``landmarks`` landmarks, or ``LANDMARKS_EACH`` a language if those are more.
+    """
     if not rows:
         return None
     texts, names = [r[0] for r in rows], sorted({r[1] for r in rows})
@@ -144,29 +151,32 @@ def train(rows: list[tuple[str, str]], landmarks: int = LANDMARKS,
     values, counts = np.unique(np.concatenate(sets), return_counts=True)
     vocabulary = values[counts >= min(LEAST_TEXTS, len(texts))]
     index = GramIndex(vocabulary)
-    presence = index.presence(texts)
     # landmarks take turns over the languages
     places: dict[str, int] = {}
     turn = [(places.setdefault(n, 0), places.update({n: places[n] + 1})) for _, n in rows]
-    order = sorted(range(len(rows)), key=lambda i: (turn[i][0], rows[i][1]))[:landmarks]
-    marks = presence[order].T
+    order = sorted(range(len(rows)), key=lambda i: (turn[i][0], rows[i][1]))
+    order = order[:max(landmarks, LANDMARKS_EACH * len(names))]
+    presence = index.presence([texts[i] for i in order])
+    marks = presence.T
     marks = marks / np.sqrt(np.maximum(marks.sum(axis=0, keepdims=True), 1))
-    between = kernel(presence[order], marks).astype(np.float64)
+    between = kernel(presence, marks).astype(np.float64)
     values_, vectors = np.linalg.eigh(between)
     keep = values_ > 1e-6 * values_.max()
     root = vectors[:, keep] / np.sqrt(values_[keep])
-    features = kernel(presence, marks) @ root
+    features = np.concatenate([kernel(index.presence(texts[low:low + BATCH]), marks) @ root
+                               for low in range(0, len(texts), BATCH)])
     target = np.array([[1.0 if n == name else -1.0 for name in names] for _, n in rows])
     # languages weigh the same, however many rows they have
-    weight = np.array([1 / sum(n == m for _, m in rows) for _, n in rows])[:, None]
+    weight = np.array([1 / places[n] for _, n in rows])[:, None]
     square = (features * weight).T @ features + ridge * len(names) * np.eye(features.shape[1])
     solved = np.linalg.solve(square, (features * weight).T @ target)
     return Model(names, index, marks.astype(np.float32), (root @ solved).astype(np.float32))
 
 
 def sample(docs: DataFrame, text: str, doc_id: str, lang: str, per_language: int,
-           folds: int) -> list[tuple[str, str]]:
-    """About ``per_language`` texts of every language, by the hash of their id.
+           folds: int, most: int = MOST_TEXTS) -> list[tuple[str, str]]:
+    """About ``per_language`` texts of every language, by the hash of their id; fewer of
+    each if all languages' would be more than ``most``.
 
     Rows of fold 0 and rows without id, text or language are never among them.
     """
@@ -177,6 +187,7 @@ def sample(docs: DataFrame, text: str, doc_id: str, lang: str, per_language: int
     counts = few_rows(known.groupBy("lang").count(), MOST_LANGUAGES, "languages")
     if not counts:
         return []
+    per_language = max(1, min(per_language, most // len(counts)))
     share = F.create_map(*[F.lit(x) for r in counts
                            for x in (r["lang"], min(1.0, per_language / r["count"]))])
     point = F.pmod(F.xxhash64(F.lit("language"), "id"), F.lit(1 << 30)) / float(1 << 30)
@@ -189,8 +200,8 @@ def sample(docs: DataFrame, text: str, doc_id: str, lang: str, per_language: int
 def _predicted(model: Model | None, folds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 128):
-                part = batch.slice(low, 128)
+            for low in range(0, batch.num_rows, BATCH):
+                part = batch.slice(low, BATCH)
                 texts = part.column("text").to_pylist()
                 held = [crc_fold(d, folds) == 0 for d in part.column("doc_id").to_pylist()]
                 known = [model is not None and t is not None and any(map(str.isalpha, t))
@@ -215,8 +226,8 @@ def identify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang:
              per_language: int = PER_LANGUAGE, folds: int = FOLDS) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row.
 
-    The model learns from about ``per_language`` texts of each language among rows
-    whose id's crc32 modulo ``folds`` is not 0; a prediction sees the text alone. A
+    The model learns from about ``per_language`` texts of each language, ``MOST_TEXTS``
+    in all, among rows whose id's crc32 modulo ``folds`` is not 0; a prediction sees the text alone. A
     null text, one without a letter, or any text when there is nothing to learn
     from is ``und`` with score 0. A null id is not held out and not learned from.
     Every row gives one row; an empty table gives an empty result.

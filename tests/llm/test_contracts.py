@@ -896,6 +896,30 @@ def test_kernel_features_are_set_intersections():
     assert (found @ found.T).astype(int).tolist() == [[len(a & b) for b in sets] for a in sets]
 
 
+def test_every_language_has_landmarks():
+    """More languages than there are landmarks at least, each with letters of its own."""
+    random = np.random.default_rng(3)
+    alphabets = [[chr(0x4E00 + 6 * i + k) for k in range(6)]
+                 for i in range(language.LANDMARKS + 20)]
+
+    def written(letters):
+        return " ".join("".join(random.choice(letters, 4)) for _ in range(30))
+
+    rows = [(written(a), f"l{i:03}") for _ in range(4) for i, a in enumerate(alphabets)]
+    model = language.train(rows)
+    assert model.landmarks.shape[1] == language.LANDMARKS_EACH * len(alphabets)
+    best = model.scores([written(a) for a in alphabets]).argmax(axis=1)
+    assert [model.languages[b] for b in best] == [f"l{i:03}" for i in range(len(alphabets))]
+
+
+def test_training_texts_are_bounded(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "'some words' AS text",
+                                        "concat('l', id % 20) AS lang")
+    texts = language.sample(docs, "text", "doc_id", "lang", 300, 5, most=400)
+    assert 200 < len(texts) <= 800
+    assert len({name for _, name in texts}) == 20
+
+
 def test_parts_of_long_texts_hold_all_grams(monkeypatch):
     text = "one two   three!!  four five " * 20
     whole = {g for p in language.parts(text) for g in np.concatenate(list(language.grams(p)))}
