@@ -17,10 +17,12 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from string import ascii_letters
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,9 @@ _MAYBE_HEX = re.compile(rb"[0-9a-f]{24}")
 SAMPLE = 20_000
 WINDOWS = 6_000
 AROUND = 8
+# Besides the window of a secret, so many more with its value in one of so many frames, cut
+# to this length or more.
+ALTERED, FRAMES, LEAST_CUT = 2, 7, 14
 FEATURES = 1 << 14
 EPOCHS = 60
 KNOWN_WORDS = 500_000
@@ -96,6 +101,7 @@ _outline = _Outline()
 _RUN = re.compile(r"(.)\1+")
 _VOWELS = re.compile("[aeiouAEIOU]")
 _DIGITS = re.compile("[0-9]")
+_LETTERS = re.compile("[A-Za-z]")
 
 
 def shape(word: str) -> str:
@@ -172,10 +178,52 @@ def tags_of(places: list[tuple[int, int]], spans: list[Span]) -> list[int]:
     return tags
 
 
+def framed(name: str, value: str, frame: int) -> list[str]:
+    """The tokens of a value by itself, quoted, or given to a name."""
+    return ([value], [f'"{value}"'], [f"{name}={value}"], [f"{name}:", value],
+            [name, "=", value], [name, "=", f'"{value}"'], [f'{name}="{value}"'])[frame % FRAMES]
+
+
+def altered(words: list[str], first: int, last: int, secret: bool,
+            chance: int) -> tuple[list[str], list[int], int]:
+    """Words, tags, and the place, with the value in ``words[last]`` in another frame.
+
+    The tokens from ``first`` to ``last`` are replaced. The name is the word before, so names
+    tell nothing. A secret loses a part of its end, so its length tells little, and every
+    second one gets other letters, so its alphabet does not: the field has to go by the make
+    of the value and where it stands. Other values are cut to any length, and marks may
+    follow. What is drawn depends on ``chance`` alone.
+    """
+    bare = words[last].strip("\"'`,;()[]{}<>")
+    value = _SIGN.split(bare)[-1] or bare or words[last]
+    if secret and len(value) > LEAST_CUT:
+        value = value[:LEAST_CUT + chance // FRAMES % (len(value) - LEAST_CUT + 1)]
+        if chance & 1 << 20:
+            draw = random.Random(chance)
+            value = _LETTERS.sub(lambda _: draw.choice(ascii_letters), value)
+    elif not secret and chance & 1 << 21:
+        value = value[:1 + chance // FRAMES % len(value)]
+    name = words[first - 1] if first and words[first - 1].isalpha() else "name"
+    tokens = framed(name, value, chance)
+    tokens[-1] += ("", "", ",", ".", ";")[(chance >> 8) % 5]
+    tags = [B, *[I] * (len(tokens) - 1)] if secret else [O] * len(tokens)
+    low = max(0, first - AROUND)
+    after = words[last + 1:last + 1 + AROUND]
+    return ([*words[low:first], *tokens, *after],
+            [*[O] * (first - low), *tags, *[O] * len(after)], first - low)
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training windows: tokens around every pattern match, and here and there others."""
+    """Training windows: tokens around every pattern match, and here and there others, as
+    they are and with the value in other frames."""
     for batch in batches:
         features, tags = [], []
+
+        def add(words: list[str], labels: list[int], i: int, about: list[int]) -> None:
+            some = range(max(0, i - AROUND), min(len(words), i + AROUND + 1))
+            features.append([token_features(words, j, about) for j in some])  # noqa: B023
+            tags.append([labels[j] for j in some])  # noqa: B023
+
         for text in batch.column("text").to_pylist():
             if not text:
                 continue
@@ -183,14 +231,26 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = [text[a:b] for a, b in places]
             labels = tags_of(places, base_spans(text))
             about = _numbers(file_features(text), "#")
-            hits = [i for i, t in enumerate(labels) if t == B]
             chance = zlib.crc32(text.encode())
-            if words and chance % 4 == 0:
-                hits.append(chance // 4 % len(words))
-            for i in hits:
-                some = range(max(0, i - AROUND), min(len(words), i + AROUND + 1))
-                features.append([token_features(words, j, about) for j in some])
-                tags.append([labels[j] for j in some])
+            for i in [i for i, t in enumerate(labels) if t == B]:
+                add(words, labels, i, about)
+                last = i
+                while last + 1 < len(labels) and labels[last + 1] == I:
+                    last += 1
+                for turn in range(ALTERED):
+                    mark = zlib.crc32(f"{i}:{turn}".encode(), chance)
+                    add(*altered(words, i, last, True, mark), about)
+            calm = [i for i, t in enumerate(labels) if t == O]
+            # of the others, a word and one with a digit
+            for turn, some in enumerate((calm, [i for i in calm if _DIGITS.search(words[i])])):
+                if some and (turn or chance % 4 == 0):
+                    i = some[chance // 4 % len(some)]
+                    add(words, labels, i, about)
+                    for again in range(ALTERED):
+                        mark = zlib.crc32(f"{i}:{turn}:{again}".encode(), chance)
+                        changed = altered(words, i, i, False, mark)
+                        if not base_spans(" ".join(changed[0])):
+                            add(*changed, about)
         yield pa.RecordBatch.from_arrays(
             [pa.array(features, pa.list_(pa.list_(pa.int32()))),
              pa.array(tags, pa.list_(pa.int32()))], ["features", "tags"])

@@ -713,7 +713,6 @@ def test_pruned_decoding_is_viterbi_over_the_whole_text():
         assert secret_scan.Scanner(field).scan([text])[0] == (base, spans)
 
 
-@pytest.mark.xfail(reason="too few secrets in the documents of sf0.1 to learn this from")
 def test_the_field_finds_what_no_pattern_names(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     scanner = secret_scan.Scanner(secret_scan.train(docs))
@@ -724,6 +723,52 @@ def test_the_field_finds_what_no_pattern_names(spark):
     assert any(added for _, added in found[:-1])
 
 
+def test_the_field_finds_renamed_secrets_of_documents_not_learned_from(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    learned = secret_scan.train(docs.where("crc32(string(doc_id)) % 2 = 0"))
+    held = [r.text for r in docs.where("crc32(string(doc_id)) % 2 = 1 AND text IS NOT NULL")
+            .collect()]
+    scanner = secret_scan.Scanner(learned)
+    hidden, clean = [], []
+    for text in held:
+        spans = [s for s in plain_spans(text) if s[0] == "assign"]
+        if spans:
+            _, a, b = spans[0]
+            value = text[a:b].split('"')[-1]
+            hidden.append(f'{text[max(0, a - 200):a]}grant = "{value[:20]}"'
+                          f"{text[b + 1:b + 200]}")
+        elif not plain_spans(text):
+            clean.append(text)
+    hidden = [t for t in hidden if not plain_spans(t)]
+    found = [added for _, added in scanner.scan(hidden)]
+    assert len(hidden) > 40 and sum(map(bool, found)) >= 0.9 * len(hidden)
+    wrong = [added for _, added in scanner.scan(clean) if added]
+    assert len(clean) > 4000 and len(wrong) <= len(clean) // 1000
+    other = ["x = 5;", "width = 100;", "user=alice12", "name: value", "id=12345678", "a1b2",
+             "lang=en", "mail bob12@host3.example.com now", "on 2024-07-05 at 12:30"]
+    assert not any(added for _, added in scanner.scan([f"here {w} goes on" for w in other]))
+
+
+def test_altered_windows_keep_the_secret_and_its_place():
+    words = ["so", "says", "token", "=", '"0123456789abcdef0123";', "and", "on"]
+    frames = set()
+    for chance in range(0, 1 << 22, 9973):
+        for secret in (True, False):
+            some, tags, place = secret_scan.altered(words, 2, 4, secret, chance)
+            assert len(some) == len(tags) and some[:2] == words[:2] and some[-2:] == words[-2:]
+            assert place == 2 and "token" not in some
+            inside = some[2:-2]
+            assert tags[2:-2] == ([1, *[2] * (len(inside) - 1)] if secret else [0] * len(inside))
+            assert not any(tags[:2] + tags[-2:])
+            frames.add(len(inside))
+            if secret:
+                bare = inside[-1].rstrip(",.;").strip('"').split("=")[-1].strip('"')
+                assert secret_scan.LEAST_CUT <= len(bare) <= 20
+    assert frames == {1, 2, 3}
+    assert secret_scan.altered(words, 2, 4, True, 77) == secret_scan.altered(words, 2, 4, True, 77)
+    assert secret_scan.altered(["7"], 0, 0, False, 1 << 21)[2] == 0
+
+
 def test_the_field_learns_shapes_from_enough_secrets(spark, given):
     rows = []
     for i in range(600):
