@@ -241,10 +241,10 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     mark = zlib.crc32(f"{i}:{turn}".encode(), chance)
                     add(*altered(words, i, last, True, mark), about)
             calm = [i for i, t in enumerate(labels) if t == O]
-            # of the others, a word and one with a digit
+            # of the others, in some texts, a word and one with a digit
             for turn, some in enumerate((calm, [i for i in calm if _DIGITS.search(words[i])])):
-                if some and (turn or chance % 4 == 0):
-                    i = some[chance // 4 % len(some)]
+                if some and chance % (16, 2)[turn] == 0:
+                    i = some[chance // 16 % len(some)]
                     add(words, labels, i, about)
                     for again in range(ALTERED):
                         mark = zlib.crc32(f"{i}:{turn}:{again}".encode(), chance)
