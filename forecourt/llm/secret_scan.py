@@ -4,8 +4,10 @@ The field tags every token as begin, inside or outside of a secret from its shap
 its neighbouring words and facts about the file, and is decoded by Viterbi. It
 learns from the pattern matches, which are looked for in all documents and then
 bounded, and from a bounded sample of other documents, with features that see
-shapes rather than the patterns themselves, and adds the spans that look alike;
-matches of the patterns always stay.
+shapes rather than the patterns themselves. Each match is also learned under other
+names, cut and with other letters, and ordinary words in the same frames, so that
+neither a name nor a length decides. It adds the spans that look alike; matches of
+the patterns always stay.
 
 A token's score depends on the token, its two neighbours and the file, so each
 distinct word is looked at once and long texts are scored by table. The best tag
