@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,15 +37,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and continue from the written table.
 
     For a frame that several branches of a job start from: it is computed once,
-    and a lost executor costs a re-read, not the work before it. ``by`` names columns
-    to write folders by. The table goes when the application ends.
+    and a lost executor costs a re-read, not the work before it. The table goes when the
+    application ends.
     """
     spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
-    df.write.partitionBy(*by).parquet(path)
+    df.write.parquet(path)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -92,10 +92,10 @@ def with_faults(landed: DataFrame, schema: StructType, sep: str, trailing: int =
 
 
 def parted(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows without and with faults. They are written once, side by side, so the feed is
+    """Rows without and with faults. They are written once, to one table, so the feed is
     read and checked once for both."""
-    table = materialize(checked.withColumn("fits", F.size(FAULTS_COLUMN) == 0), "checked",
-                        by=["fits"])
+    # no folders by fits: a task would sort all its rows to write them
+    table = materialize(checked.withColumn("fits", F.size(FAULTS_COLUMN) == 0), "checked")
     good = table.where("fits").drop("fits", FAULTS_COLUMN, LINE_COLUMN)
     return good, table.where("NOT fits").drop("fits")
 
@@ -144,6 +144,15 @@ def read_delimited(spark: SparkSession, path: str | list[str], schema: StructTyp
     return convert_columns(good, schema, null_tokens, date_formats, keep), bad
 
 
+def join_file(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of files with what ``files`` holds, one row at most, of each row's file.
+
+    ``files`` is broadcast: the driver lists the files of a read anyway. Dealt by file, all
+    rows of a large file would be in one task.
+    """
+    return lookup_join(rows, F.broadcast(files), [FILE_COLUMN], "left")
+
+
 def land_by_header(spark: SparkSession, path: str | list[str], schema: StructType,
                    sep: str = ",", null_tokens: Sequence[str] = ("", "NULL"),
                    date_formats: Sequence[str] = DATE_FORMATS, multi_line: bool = False,
@@ -176,7 +185,7 @@ def land_by_header(spark: SparkSession, path: str | list[str], schema: StructTyp
     headers = (raw.where(is_header).select(FILE_COLUMN, places.alias("__places"))
                .groupBy(FILE_COLUMN)
                .agg(F.min("__places").alias("__first"), F.max("__places").alias("__last")))
-    rows = lookup_join(raw.where(~is_header), headers, [FILE_COLUMN], "left")
+    rows = join_file(raw.where(~is_header), headers)
     fault = (F.when(F.col("__first").isNull(), NO_HEADER)
              .when(F.col("__first") != F.col("__last"), TWO_HEADERS))
     stop = F.raise_error(F.concat_ws(": ", FILE_COLUMN, fault)) if strict else F.lit(None)

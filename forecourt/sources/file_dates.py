@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.functions.dates import parse_date, sales_through
-from forecourt.operators.skew import lookup_join
-from forecourt.sources.delimited import FILE_COLUMN
+from forecourt.sources.delimited import FILE_COLUMN, join_file
 from forecourt.sources.fixed_width import HEADER_PREFIX, is_header
 
 
@@ -31,7 +30,7 @@ def with_header_date(raw: DataFrame, start: int = 9, length: int = 10, fmt: str
     header = is_header(F.col("value"), header_prefix)
     date = parse_date(F.substring("value", start, length), fmt)
     dates = raw.where(header).groupBy(FILE_COLUMN).agg(F.min(date).alias(name))
-    return lookup_join(raw.where(~header), dates, [FILE_COLUMN], "left")
+    return join_file(raw.where(~header), dates)
 
 
 def report_dates(df: DataFrame, file_date: str = "file_date") -> DataFrame:

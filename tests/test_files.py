@@ -18,7 +18,7 @@ from forecourt.operators.objectives import hierarchy_reconcile
 from forecourt.operators.reconcile import fingerprint, reconcile_sets, same_rows
 from forecourt.plans import staging
 from forecourt.sources import feeds
-from forecourt.sources.delimited import read_by_header, read_delimited
+from forecourt.sources.delimited import land_by_header, read_by_header, read_delimited
 from forecourt.streaming.ingest import ingest_batches, read_batches, stream_lines
 from test_sources import put
 
@@ -78,6 +78,28 @@ def test_unknown_headers_and_faulty_lines_are_rejected(spark, tmp_path):
         read_by_header(spark, str(tmp_path / "b.csv"), FEED).collect()
 
 
+def test_rows_are_not_dealt_by_file_to_get_its_header(spark, tmp_path):
+    lines = "".join(f"{i},v{i},2024-05-01\n" for i in range(300)) + "x,y,z\n"
+    put(tmp_path, "a.csv", "k,v,d\n" + lines)
+    put(tmp_path, "b.csv", "other\n")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = land_by_header(spark, str(tmp_path), FEED)
+        assert "SortMergeJoin" not in plan_of(got)
+        assert Counter(len(r["rejected_columns"]) for r in got.collect()) == {0: 300, 1: 1, 2: 1}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_and_rejects_are_written_unsorted(spark, tmp_path):
+    put(tmp_path, "a.csv", "k,v,d\n1,one,2024-05-01\nx,y,z\n2,two,2024-05-02\n")
+    good, bad = read_by_header(spark, str(tmp_path), FEED, rejects=True)
+    assert rows(good) == [(1, "one", D(2024, 5, 1)), (2, "two", D(2024, 5, 2))]
+    assert rows(bad.select("k")) == [("x",)]
+    # Spark sorts the rows of a task by the folder they go to
+    assert not [f for f in [*good.inputFiles(), *bad.inputFiles()] if "fits=" in f]
+
+
 def test_messages_with_another_column_order(spark, tmp_path):
     names = feeds.SYSTEM_MESSAGES.fieldNames()
     values = dict(zip(names, ["US", "S", "d", "1", "hi", "5/3/2023", "2023-12-31", "T", "u",

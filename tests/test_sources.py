@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan_of, rows
 from forecourt.functions.dates import excel_serial_date
 from forecourt.functions.text import code_label, percent_parse, plain_header, yes_no
 from forecourt.plans import staging
@@ -204,6 +204,18 @@ def test_header_dates_belong_to_their_file(spark, tmp_path):
         (12, "QY2", D(2024, 6, 3), 99, D(2024, 6, 3)), (12, "QY2", D(2024, 7, 4), 1, None)]
 
 
+def test_lines_are_not_dealt_by_file_to_get_its_date(spark, tmp_path):
+    put(tmp_path, "a.txt", "HDR NAT 05/02/2024 OBJ \n" + "0011QX1050220240001234\n" * 50)
+    put(tmp_path, "b.txt", "0012QY2070420240000001\n")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dated = with_header_date(land_text(spark, str(tmp_path)))
+        assert "SortMergeJoin" not in plan_of(dated)
+        assert rows(dated.groupBy("file_date").count()) == [(D(2024, 5, 2), 50), (None, 1)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 values = {
     "biz_assoc_id": st.integers(0, 999999), "region_cd": st.from_regex(r"\A[0-9]{2}\Z"),
     "sec_cd": st.from_regex(r"\A[0-9]{2}\Z"), "zone_cd": st.from_regex(r"\A[0-9]{4}\Z"),
